@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltalake.sources.files import spread
+
 
 def _text(column: Column, kind: str) -> Column:
     return column.cast(kind).cast("string")
@@ -74,9 +76,9 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """One row per line item; order and line number repeat, so identifiers do."""
+    items = spread(_table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
     rows = (
-        _table(spark, folder, "lineitem")
-        .join(_table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        items.join(_table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(_table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))

@@ -30,6 +30,16 @@ CSV_WRITE = {
 }
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Share out a scan that has fewer pieces than the session has cores.
+
+    That is so for a small input, and for one large file that cannot be split.
+    A scan with pieces enough stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def scan_csv(
     spark: SparkSession, root: str, dataset: str, load_date: str | date | None = None
 ) -> DataFrame:
