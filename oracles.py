@@ -68,8 +68,10 @@ def _exact(value: str) -> str:
     return f"CAST(SUM(CAST({value} AS DECIMAL(28,6))) AS DOUBLE)"
 
 
-def _mean(value: str) -> str:
-    return f"{_exact(value)} / COUNT({value})"
+def _mean(value: str, digits: int = 2) -> str:
+    """Average, rounded half up in decimals."""
+    quotient = f"CAST({_exact(value)} / COUNT({value}) AS DECIMAL(28,6))"
+    return f"CAST(ROUND({quotient}, {digits}) AS DOUBLE)"
 
 
 _SUPPLIERS = f"""
@@ -136,7 +138,7 @@ typed_t AS (
 
 _PRICED = f"""
 pr AS (
-  SELECT tipo_energia AS te, ROUND({_mean('precio_cop_kwh')}, 2) AS m FROM d GROUP BY tipo_energia
+  SELECT tipo_energia AS te, {_mean('precio_cop_kwh')} AS m FROM d GROUP BY tipo_energia
 ), t AS (
   SELECT d.*, m AS precio_promedio_tipo_energia, precio_cop_kwh > m AS sobre_precio_promedio,
     ROUND((precio_cop_kwh - m) / NULLIF(m, 0) * 100, 2) + 0.0 AS desviacion_precio_pct,
@@ -149,7 +151,7 @@ me AS (
   SELECT tipo_energia, tipo_transaccion, COUNT(*) AS num_transacciones,
     ROUND({_exact('cantidad_kwh')}, 2) AS total_kwh,
     ROUND({_exact('valor_total_cop')}, 2) AS total_cop,
-    ROUND({_mean('precio_cop_kwh')}, 2) AS precio_promedio_kwh,
+    {_mean('precio_cop_kwh')} AS precio_promedio_kwh,
     ROUND(MIN(precio_cop_kwh), 2) AS precio_min_kwh,
     ROUND(MAX(precio_cop_kwh), 2) AS precio_max_kwh,
     DATE '{LOAD_DATE}' AS _fecha_ingesta, 'por_energia' AS _tipo_metrica
@@ -168,7 +170,7 @@ ms AS (
   SELECT segmento, tipo_energia, COUNT(*) AS num_transacciones,
     ROUND({_exact('cantidad_kwh')}, 2) AS total_kwh,
     ROUND({_exact('valor_total_cop')}, 2) AS total_cop,
-    ROUND({_mean('valor_total_cop')}, 2) AS ticket_promedio_cop,
+    {_mean('valor_total_cop')} AS ticket_promedio_cop,
     DATE '{LOAD_DATE}' AS _fecha_ingesta, 'por_segmento' AS _tipo_metrica
   FROM vc WHERE segmento IS NOT NULL GROUP BY segmento, tipo_energia
 )"""
@@ -399,7 +401,7 @@ WHERE d.tipo_transaccion = 'compra'""",
     + f"""SELECT tipo_energia, COUNT(*) AS num_transacciones,
   ROUND({_exact('cantidad_kwh')}, 2) AS total_kwh,
   ROUND({_exact('valor_total_cop')}, 2) AS total_cop,
-  ROUND({_mean('precio_cop_kwh')}, 2) AS precio_promedio_kwh
+  {_mean('precio_cop_kwh')} AS precio_promedio_kwh
 FROM d WHERE tipo_transaccion = 'compra' AND {_DONE}
 GROUP BY tipo_energia ORDER BY total_kwh DESC, tipo_energia""",
     "q2": _with(*_D)
@@ -411,17 +413,17 @@ GROUP BY nombre_cliente_proveedor, clasificacion_volumen
 ORDER BY total_kwh_consumido DESC, cliente, clasificacion_volumen LIMIT 5""",
     "q3": _with(*_D)
     + f"""SELECT tipo_energia, mercado, tipo_transaccion,
-  ROUND({_mean('precio_cop_kwh')}, 2) AS precio_promedio,
+  {_mean('precio_cop_kwh')} AS precio_promedio,
   ROUND(MIN(precio_cop_kwh), 2) AS precio_min, ROUND(MAX(precio_cop_kwh), 2) AS precio_max,
   COUNT(*) AS num_operaciones
 FROM d WHERE {_DONE} GROUP BY ALL ORDER BY tipo_energia, mercado, tipo_transaccion""",
     "q4": _with(*_D) + _PENDING,
     "q5": _with(*_D)
     + f""", b AS (
-  SELECT tipo_energia, ROUND({_mean('precio_cop_kwh')}, 4) AS pc, {_exact('cantidad_kwh')} AS kc
+  SELECT tipo_energia, {_mean('precio_cop_kwh', 4)} AS pc, {_exact('cantidad_kwh')} AS kc
   FROM d WHERE tipo_transaccion = 'compra' AND {_DONE} GROUP BY tipo_energia
 ), s AS (
-  SELECT tipo_energia, ROUND({_mean('precio_cop_kwh')}, 4) AS pv, {_exact('cantidad_kwh')} AS kv
+  SELECT tipo_energia, {_mean('precio_cop_kwh', 4)} AS pv, {_exact('cantidad_kwh')} AS kv
   FROM d WHERE tipo_transaccion = 'venta' AND {_DONE} GROUP BY tipo_energia
 )
 SELECT tipo_energia, pc AS precio_compra, pv AS precio_venta, ROUND(pv - pc, 4) AS margen_cop_kwh,
@@ -429,7 +431,7 @@ SELECT tipo_energia, pc AS precio_compra, pv AS precio_venta, ROUND(pv - pc, 4)
 FROM b JOIN s USING (tipo_energia) ORDER BY margen_pct DESC, tipo_energia""",
     "q6": _with(*_C)
     + f"""SELECT segmento, ciudad, COUNT(*) AS num_clientes,
-  ROUND({_mean('c.consumo_promedio_kwh')}, 2) AS consumo_promedio_kwh,
+  {_mean('c.consumo_promedio_kwh')} AS consumo_promedio_kwh,
   ROUND({_exact('c.consumo_promedio_kwh')}, 2) AS consumo_total_kwh
 FROM c GROUP BY segmento, ciudad ORDER BY segmento, consumo_total_kwh DESC""",
     "q7": _with(*_P)

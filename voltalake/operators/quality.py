@@ -10,37 +10,6 @@ from pyspark.sql import functions as F
 from voltalake import schemas as S
 from voltalake.operators.dedup import repeated_keys
 
-
-def _col(name: str) -> Column:
-    return F.col(name)
-
-
-# Condition that makes a row bad, by table and check.
-ROW_CHECKS = {
-    "proveedores": {
-        "tipo_energia_valido": ~_col("tipo_energia").isin(*S.ENERGY_TYPES),
-        "nombre_no_nulo": _col("nombre_proveedor").isNull(),
-        "tipo_energia_no_nulo": _col("tipo_energia").isNull(),
-        "capacidad_positiva": _col("capacidad_mw") <= 0,
-    },
-    "clientes": {
-        "tipo_identificacion_valido": ~_col("tipo_identificacion").isin(*S.ID_TYPES),
-        "tipo_identificacion_no_nulo": _col("tipo_identificacion").isNull(),
-        "identificacion_no_nula": _col("identificacion").isNull(),
-        "identificacion_se_enmascara": F.length("identificacion") <= S.MASK_TAIL,
-        "antiguedad_no_negativa": _col("antiguedad_dias") < 0,
-    },
-    "transacciones": {
-        "id_no_nulo": _col("id_transaccion").isNull(),
-        "tipo_energia_valido": ~_col("tipo_energia").isin(*S.ENERGY_TYPES),
-        "tipo_transaccion_valido": ~_col("tipo_transaccion").isin(*S.TRANSACTION_TYPES),
-        "cantidad_positiva": _col("cantidad_kwh") <= 0,
-        "precio_positivo": _col("precio_cop_kwh") <= 0,
-        "desviacion_coherente": _col("sobre_precio_promedio")
-        & (_col("desviacion_precio_pct") < 0),
-    },
-}
-
 REQUIRED_COLUMNS = {
     "proveedores": ("nombre_proveedor", "tipo_energia", "capacidad_mw", "activo"),
     "clientes": ("tipo_identificacion", "identificacion", "nombre", "segmento"),
@@ -48,6 +17,34 @@ REQUIRED_COLUMNS = {
 }
 
 
+def row_checks(dataset: str) -> dict[str, Column]:
+    """Condition that makes a row bad, by check."""
+    c = F.col
+    if dataset == "proveedores":
+        return {
+            "tipo_energia_valido": ~c("tipo_energia").isin(*S.ENERGY_TYPES),
+            "nombre_no_nulo": c("nombre_proveedor").isNull(),
+            "tipo_energia_no_nulo": c("tipo_energia").isNull(),
+            "capacidad_positiva": c("capacidad_mw") <= 0,
+        }
+    if dataset == "clientes":
+        return {
+            "tipo_identificacion_valido": ~c("tipo_identificacion").isin(*S.ID_TYPES),
+            "tipo_identificacion_no_nulo": c("tipo_identificacion").isNull(),
+            "identificacion_no_nula": c("identificacion").isNull(),
+            "identificacion_se_enmascara": F.length("identificacion") <= S.MASK_TAIL,
+            "antiguedad_no_negativa": c("antiguedad_dias") < 0,
+        }
+    return {
+        "id_no_nulo": c("id_transaccion").isNull(),
+        "tipo_energia_valido": ~c("tipo_energia").isin(*S.ENERGY_TYPES),
+        "tipo_transaccion_valido": ~c("tipo_transaccion").isin(*S.TRANSACTION_TYPES),
+        "cantidad_positiva": c("cantidad_kwh") <= 0,
+        "precio_positivo": c("precio_cop_kwh") <= 0,
+        "desviacion_coherente": c("sobre_precio_promedio") & (c("desviacion_precio_pct") < 0),
+    }
+
+
 def _fit_checks(dataset: str) -> dict[str, Column]:
     """Values that the warehouse column of the same name cannot hold."""
     checks = {}
@@ -56,7 +53,7 @@ def _fit_checks(dataset: str) -> dict[str, Column]:
         if text:
             checks[f"{name}_cabe"] = F.length(name) > int(text[1])
         elif kind.startswith("decimal"):
-            checks[f"{name}_cabe"] = _col(name).isNotNull() & _col(name).try_cast(kind).isNull()
+            checks[f"{name}_cabe"] = F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
     return checks
 
 
@@ -71,7 +68,7 @@ def quality_report(table: DataFrame, dataset: str) -> DataFrame:
             [(dataset, f"columna_{name}", None, False) for name in missing],
             "tabla string, regla string, filas_malas bigint, cumple boolean",
         )
-    checks = {**ROW_CHECKS[dataset], **_fit_checks(dataset)}
+    checks = {**row_checks(dataset), **_fit_checks(dataset)}
     counted = table.agg(
         F.count_if(F.lit(True)).alias("_rows"),
         *[F.count_if(bad).alias(rule) for rule, bad in checks.items()],

@@ -6,20 +6,29 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltalake import schemas as S
 from voltalake.functions import columns as C
 from voltalake.functions.exact import exact_avg, exact_sum
 
-_price, _kwh, _cop = (
-    F.col("precio_cop_kwh"), F.col("cantidad_kwh"), F.col("valor_total_cop")
-)
-_rows = F.count(F.lit(1))
+_PRICE, _KWH, _COP = "precio_cop_kwh", "cantidad_kwh", "valor_total_cop"
 
 
-def _is(column: str, value: str):
+def _rows() -> Column:
+    return F.count(F.lit(1))
+
+
+def _total(column: str) -> Column:
+    return F.round(exact_sum(F.col(column)), 2)
+
+
+def _mean(column: str) -> Column:
+    return F.round(exact_avg(F.col(column)), 2)
+
+
+def _is(column: str, value: str) -> Column:
     return F.col(column) == value
 
 
@@ -29,10 +38,10 @@ def purchased_energy(transactions: DataFrame) -> DataFrame:
     return (
         bought.groupBy("tipo_energia")
         .agg(
-            _rows.alias("num_transacciones"),
-            F.round(exact_sum(_kwh), 2).alias("total_kwh"),
-            F.round(exact_sum(_cop), 2).alias("total_cop"),
-            F.round(exact_avg(_price), 2).alias("precio_promedio_kwh"),
+            _rows().alias("num_transacciones"),
+            _total(_KWH).alias("total_kwh"),
+            _total(_COP).alias("total_cop"),
+            _mean(_PRICE).alias("precio_promedio_kwh"),
         )
         .orderBy(F.col("total_kwh").desc_nulls_last(), "tipo_energia")
     )
@@ -44,9 +53,9 @@ def top_customers(transactions: DataFrame, k: int = 5) -> DataFrame:
     return (
         sold.groupBy(F.col("nombre_cliente_proveedor").alias("cliente"), "clasificacion_volumen")
         .agg(
-            _rows.alias("num_compras"),
-            F.round(exact_sum(_kwh), 2).alias("total_kwh_consumido"),
-            F.round(exact_sum(_cop), 2).alias("total_pagado_cop"),
+            _rows().alias("num_compras"),
+            _total(_KWH).alias("total_kwh_consumido"),
+            _total(_COP).alias("total_pagado_cop"),
         )
         .select(
             "cliente",
@@ -71,10 +80,10 @@ def market_prices(transactions: DataFrame) -> DataFrame:
         transactions.where(_is("estado", S.DONE))
         .groupBy(*keys)
         .agg(
-            F.round(exact_avg(_price), 2).alias("precio_promedio"),
-            F.round(F.min(_price), 2).alias("precio_min"),
-            F.round(F.max(_price), 2).alias("precio_max"),
-            _rows.alias("num_operaciones"),
+            _mean(_PRICE).alias("precio_promedio"),
+            F.round(F.min(_PRICE), 2).alias("precio_min"),
+            F.round(F.max(_PRICE), 2).alias("precio_max"),
+            _rows().alias("num_operaciones"),
         )
         .orderBy(*[F.col(key).asc_nulls_last() for key in keys])
     )
@@ -88,8 +97,8 @@ def pending_transactions(transactions: DataFrame, as_of: str | date) -> DataFram
             "id_transaccion",
             "tipo_transaccion",
             "nombre_cliente_proveedor",
-            F.round(_kwh, 2).alias("kwh"),
-            F.round(_cop, 2).alias("valor_cop"),
+            F.round(_KWH, 2).alias("kwh"),
+            F.round(_COP, 2).alias("valor_cop"),
             "tipo_energia",
             "fecha_transaccion",
             C.days_between(F.col("fecha_transaccion"), C.day_literal(as_of)).alias(
@@ -117,10 +126,10 @@ def margins(transactions: DataFrame) -> DataFrame:
         )
         .groupBy("tipo_energia")
         .agg(
-            F.round(exact_avg(F.when(bought, _price)), 4).alias("precio_compra"),
-            F.round(exact_avg(F.when(sold, _price)), 4).alias("precio_venta"),
-            exact_sum(F.when(bought, _kwh)).alias("kwh_comprado"),
-            exact_sum(F.when(sold, _kwh)).alias("kwh_vendido"),
+            F.round(exact_avg(F.when(bought, F.col(_PRICE))), 4).alias("precio_compra"),
+            F.round(exact_avg(F.when(sold, F.col(_PRICE))), 4).alias("precio_venta"),
+            exact_sum(F.when(bought, F.col(_KWH))).alias("kwh_comprado"),
+            exact_sum(F.when(sold, F.col(_KWH))).alias("kwh_vendido"),
             F.count_if(bought).alias("_buys"),
             F.count_if(sold).alias("_sells"),
         )
@@ -140,13 +149,13 @@ def margins(transactions: DataFrame) -> DataFrame:
 
 def customer_distribution(customers: DataFrame) -> DataFrame:
     """q6: customers and their consumption per segment and city."""
-    use = F.col("consumo_promedio_kwh")
+    use = "consumo_promedio_kwh"
     return (
         customers.groupBy("segmento", "ciudad")
         .agg(
-            _rows.alias("num_clientes"),
-            F.round(exact_avg(use), 2).alias("consumo_promedio_kwh"),
-            F.round(exact_sum(use), 2).alias("consumo_total_kwh"),
+            _rows().alias("num_clientes"),
+            _mean(use).alias("consumo_promedio_kwh"),
+            _total(use).alias("consumo_total_kwh"),
         )
         .orderBy(
             F.col("segmento").asc_nulls_last(),

@@ -14,12 +14,14 @@ from voltalake import schemas as S
 from voltalake.sources import layout
 
 # Quotes are doubled inside quoted text; outer blanks are data.
-# enforceSchema=False: a header that names other columns is an error
-# instead of values in the wrong column.
+# enforceSchema=false: a header that names other columns is an error
+# instead of values in the wrong column. columnPruning=false: the shape of a
+# line is checked whichever columns a query needs.
 CSV_READ = {
     "header": "true",
     "escape": '"',
     "enforceSchema": "false",
+    "columnPruning": "false",
     "columnNameOfCorruptRecord": S.CORRUPT,
 }
 CSV_WRITE = {
