@@ -218,6 +218,13 @@ def fact_transacciones(spark: SparkSession, sf: str) -> DataFrame:
     return warehouse.warehouse_rows(enriched(spark, sf), "fact_transacciones")
 
 
+def v_resumen_diario(spark: SparkSession, sf: str) -> DataFrame:
+    facts = warehouse.warehouse_rows(
+        transactions(spark, sf), "fact_transacciones", warehouse.SUMMARY_COLUMNS
+    )
+    return warehouse.daily_summary_view(facts)
+
+
 def dq_report(spark: SparkSession, sf: str) -> DataFrame:
     tables = {
         "proveedores": suppliers(spark, sf),
@@ -293,9 +300,7 @@ def queries() -> dict[str, Query]:
         "v_margen_energia": lambda spark, sf: warehouse.margin_view(
             agg_metricas_energia(spark, sf)
         ),
-        "v_resumen_diario": lambda spark, sf: warehouse.daily_summary_view(
-            fact_transacciones(spark, sf)
-        ),
+        "v_resumen_diario": v_resumen_diario,
         "dim_proveedores": lambda spark, sf: warehouse.warehouse_rows(
             suppliers(spark, sf), "dim_proveedores"
         ),

@@ -1,8 +1,12 @@
 import shutil
+from pathlib import Path
 
 from conftest import DATA, DAY, values
 from voltalake import schemas as S
 from voltalake.operators.normalize import readable
+from voltalake.plans import daily
+from voltalake.session import shared_folder
+from voltalake.sources import files
 from voltalake.streaming import ingest
 
 
@@ -13,12 +17,13 @@ def test_each_file_is_taken_once(spark, sample, tmp_path):
     shutil.copy(DATA / "proveedores.csv", folder / "uno.csv")
 
     def run():
-        return ingest.ingest(spark, "proveedores", landing, root, marks, DAY)
+        ingest.ingest(spark, "proveedores", landing, root, marks, DAY)
+        return ingest.read_ingested(spark, root, "proveedores").count()
 
     assert run() == 10
-    assert run() == 0
-    shutil.copy(DATA / "proveedores.csv", folder / "dos.csv")
     assert run() == 10
+    shutil.copy(DATA / "proveedores.csv", folder / "dos.csv")
+    assert run() == 20
     rows = ingest.read_ingested(spark, root, "proveedores", DAY)
     assert rows.count() == 20
     assert {r[0].rsplit("/", 1)[1] for r in values(rows, "_origen")} == {"uno.csv", "dos.csv"}
@@ -34,7 +39,7 @@ def test_unparseable_lines_are_kept(spark, tmp_path):
     folder.mkdir(parents=True)
     header = ",".join(S.RAW_COLUMNS["clientes"])
     (folder / "c.csv").write_text(f"{header}\nCC,1,a,b,c,2024-01-01,5\nCC,2\n")
-    assert ingest.ingest(spark, "clientes", landing, root, marks) == 2
+    ingest.ingest(spark, "clientes", landing, root, marks)
     rows = ingest.read_ingested(spark, root, "clientes")
     assert sorted(values(rows, "identificacion", S.CORRUPT), key=repr) == [
         ("1", None), ("2", "CC,2")
@@ -50,3 +55,27 @@ def test_other_tables_are_kept_as_lines(spark, tmp_path):
     ingest.ingest_other(spark, landing, root, marks, DAY)
     rows = ingest.read_ingested(spark, root, ingest.LINES)
     assert sorted(values(rows, "tabla", "linea")) == [("medidores", "1,2"), ("medidores", "a,b")]
+
+
+def test_batches_of_files_take_everything(spark, tmp_path):
+    landing, root, marks = (str(tmp_path / n) for n in ("in", "lake", "marks"))
+    folder = tmp_path / "in" / "raw" / "clientes"
+    folder.mkdir(parents=True)
+    for i in range(5):
+        shutil.copy(DATA / "clientes.csv", folder / f"{i}.csv")
+    ingest.ingest(spark, "clientes", landing, root, marks, DAY, files_per_batch=2)
+    assert ingest.read_ingested(spark, root, "clientes").count() == 50
+
+
+def test_landing_to_processed_tables(spark, tmp_path):
+    root, marks = str(tmp_path / "lake"), str(tmp_path / "marks")
+    sources = {name: str(DATA / f"{name}.csv") for name in S.RAW_COLUMNS}
+    files.land(sources, spark, str(tmp_path / "in"), DAY)
+    for name in S.RAW_COLUMNS:
+        ingest.ingest(spark, name, str(tmp_path / "in"), root, marks, DAY)
+    counts = daily.load_ingested(spark, root, DAY)
+    assert dict(values(counts)) == {
+        "proveedores": 10, "clientes": 10, "transacciones": 15,
+        "metricas_energia": 6, "metricas_segmento": 3,
+    }
+    assert not list(Path(shared_folder(spark)).glob("load-*"))

@@ -88,14 +88,17 @@ def with_price_stats_by_window(df: DataFrame) -> DataFrame:
     return _compared(df.withColumn(_AVERAGE, average))
 
 
-def enrich_transactions(raw: DataFrame, load_date: str | date) -> DataFrame:
+def enrich_transactions(
+    raw: DataFrame, load_date: str | date, folder: str | None = None
+) -> DataFrame:
     """Clean, derive, and compare prices.
 
-    The clean rows are staged once: the averages then read two columns of the
-    files, and the deduplication does not run again for the join.
+    The clean rows are staged once (in ``folder``, if given): the averages
+    then read two columns of the files, and the deduplication does not run
+    again for the join.
     """
-    rows = stage(derived(clean_transactions(raw)), "transacciones")
-    averages = stage(price_averages(rows), "precios")
+    rows = stage(derived(clean_transactions(raw)), "transacciones", folder)
+    averages = stage(price_averages(rows), "precios", folder)
     return with_price_stats(rows, averages).withColumn(
         "_fecha_ingesta", C.day_literal(load_date)
     )

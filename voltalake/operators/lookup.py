@@ -74,12 +74,15 @@ def _salted_join(
     spread_by: str,
     null_safe: bool,
 ) -> DataFrame:
-    """Which keys count as hot only moves work around; the result is the same."""
+    """NULL and the frequent keys are split by a salt, their matches copied to each salt.
+
+    Which keys count as frequent only moves work around; the result is the same.
+    """
     salts = max(2, min(MAX_SALTS, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     hot = frequent_keys(left, left_key)
 
     def is_hot(key: Column) -> Column:
-        return F.coalesce(key.isin(hot), F.lit(True))
+        return key.isNull() | key.isin(hot)
 
     salt = F.pmod(F.xxhash64(F.col(spread_by)), F.lit(salts)).cast("int")
     spread = left.withColumn("_left_salt", F.when(is_hot(F.col(left_key)), salt).otherwise(0))

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from voltalake.operators.enrich import enrich_transactions
 from voltalake.operators.integrate import energy_metrics, segment_metrics
 from voltalake.operators.normalize import normalize_customers, normalize_suppliers, readable
-from voltalake.schemas import PROCESSED
+from voltalake.schemas import PROCESSED, RAW_COLUMNS
+from voltalake.session import work_folder
 from voltalake.sources.files import read_processed, write_processed
+from voltalake.streaming.ingest import read_ingested
 
 METRICS = "tabla string, filas bigint"
 
@@ -39,12 +41,22 @@ def run_load(
 
     save("proveedores", normalize_suppliers(good["proveedores"], load_date))
     customers = save("clientes", normalize_customers(good["clientes"], load_date, as_of))
-    transactions = save("transacciones", enrich_transactions(good["transacciones"], load_date))
+    with work_folder(spark, "load") as folder:
+        enriched = enrich_transactions(good["transacciones"], load_date, folder)
+        transactions = save("transacciones", enriched)
     save("metricas_energia", energy_metrics(transactions, load_date))
     save("metricas_segmento", segment_metrics(transactions, customers, load_date))
     return spark.createDataFrame(list(counts.items()), METRICS)
 
 
+def load_ingested(
+    spark: SparkSession, root: str, load_date: str | date, as_of: str | date | None = None
+) -> DataFrame:
+    """The load of the rows that were ingested under ``root`` on a day."""
+    raw = {name: read_ingested(spark, root, name, load_date) for name in RAW_COLUMNS}
+    return run_load(raw, root, load_date, as_of)
+
+
 def processed_tables(
     spark: SparkSession, root: str, load_date: str | date
 ) -> dict[str, DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,15 +11,17 @@ from voltalake import schemas as S
 from voltalake.functions import columns as C
 
 
-def warehouse_rows(processed: DataFrame, table: str) -> DataFrame:
+def warehouse_rows(
+    processed: DataFrame, table: str, columns: Sequence[str] | None = None
+) -> DataFrame:
     """The processed rows in the column order and types of a warehouse table.
 
-    A number too large for its DECIMAL becomes NULL; the quality report
-    counts those, and the text values that are too long.
+    ``columns`` are those wanted, by default all. A number too large for its
+    DECIMAL becomes NULL; the quality report counts those, and the text
+    values that are too long.
     """
-    return processed.select(
-        *[_fitted(name, kind).alias(name) for name, kind in S.WAREHOUSE[table].items()]
-    )
+    kinds = S.WAREHOUSE[table]
+    return processed.select(*[_fitted(name, kinds[name]).alias(name) for name in columns or kinds])
 
 
 def _fitted(name: str, kind: str):
@@ -51,6 +55,13 @@ def margin_view(energy_metrics: DataFrame) -> DataFrame:
     )
 
 
+# Columns of the fact table that the daily summary reads.
+SUMMARY_COLUMNS = (
+    "fecha_transaccion", "tipo_energia", "tipo_transaccion", "estado",
+    "cantidad_kwh", "precio_cop_kwh", "valor_total_cop",
+)
+
+
 def daily_summary_view(facts: DataFrame) -> DataFrame:
     """Completed transactions per day, energy and type, the last day first."""
     return (

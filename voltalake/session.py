@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,13 +51,26 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage: later steps reread the files, column by column,
     and a lost executor costs a file scan and not the whole plan again.
+    The files stay; a job that names its own ``folder`` can drop it when done.
     """
     spark = df.sparkSession
-    path = fresh_folder(spark, name)
+    path = f"{folder}/{name}" if folder else fresh_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def work_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A fresh folder for the staged rows of one job, dropped at its end."""
+    path = fresh_folder(spark, name)
+    try:
+        yield path
+    finally:
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.delete(location, True)

@@ -18,6 +18,7 @@ from voltalake.sources.files import CSV_READ
 from voltalake.sources.layout import table_name
 
 LINES = "otros"
+FILES_PER_BATCH = 10_000
 
 
 def _ingest_day(load_date: str | date | None) -> Column:
@@ -38,8 +39,8 @@ def _with_provenance(rows: DataFrame, load_date: str | date | None, table: Colum
     )
 
 
-def _run(rows: DataFrame, target: str, checkpoint: str, partitions: tuple[str, ...]) -> int:
-    """Run the stream over the waiting files; returns the rows it took."""
+def _run(rows: DataFrame, target: str, checkpoint: str, partitions: tuple[str, ...]) -> None:
+    """Run the stream over the waiting files, batch by batch, and stop."""
     query = (
         rows.writeStream.format("parquet")
         .option("path", target)
@@ -49,7 +50,6 @@ def _run(rows: DataFrame, target: str, checkpoint: str, partitions: tuple[str, .
         .start()
     )
     query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
 
 
 def ingest(
@@ -59,7 +59,8 @@ def ingest(
     root: str,
     checkpoint: str,
     load_date: str | date | None = None,
-) -> int:
+    files_per_batch: int = FILES_PER_BATCH,
+) -> None:
     """Ingest the new CSV files of a dataset into ``root/raw/dataset/fecha=...``.
 
     Unparseable lines are kept, with their text in the corrupt-record column.
@@ -68,10 +69,11 @@ def ingest(
         spark.readStream.schema(S.raw_schema(dataset))
         .options(**CSV_READ)
         .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", files_per_batch)
         .csv(f"{landing}/raw/{dataset}")
     )
     tagged = _with_provenance(rows, load_date, F.lit(dataset))
-    return _run(tagged, f"{root}/raw/{dataset}", f"{checkpoint}/{dataset}", ("fecha",))
+    _run(tagged, f"{root}/raw/{dataset}", f"{checkpoint}/{dataset}", ("fecha",))
 
 
 def ingest_other(
@@ -80,20 +82,22 @@ def ingest_other(
     root: str,
     checkpoint: str,
     load_date: str | date | None = None,
-) -> int:
+    files_per_batch: int = FILES_PER_BATCH,
+) -> None:
     """Keep the lines of CSV files of any other table, by table and day.
 
     Such files have no declared columns, so their lines are stored as text.
     """
     rows = (
         spark.readStream.option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", files_per_batch)
         .option("pathGlobFilter", "*.csv")
         .text(landing)
         .withColumnRenamed("value", "linea")
     )
     tagged = _with_provenance(rows, load_date, table_name(F.col("_metadata.file_path")))
     unknown = tagged.where(~F.col("tabla").isin(*S.RAW_COLUMNS))
-    return _run(unknown, f"{root}/raw/{LINES}", f"{checkpoint}/{LINES}", ("tabla", "fecha"))
+    _run(unknown, f"{root}/raw/{LINES}", f"{checkpoint}/{LINES}", ("tabla", "fecha"))
 
 
 def read_ingested(
