@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan_of, values
 from voltalake.operators import lookup
@@ -56,17 +57,32 @@ def test_only_a_measured_small_side_is_hinted(spark, tables):
     assert hints(lookup.BROADCAST_BYTES) and not hints(0)
 
 
-def test_hot_key_is_spread_over_salts(spark, tables):
-    _, _, left, right = tables
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+@pytest.mark.parametrize("hot", ["hot", None])
+def test_no_task_holds_a_hot_key_whole(spark, hot):
+    """Two thirds of the rows have one key; the tasks still get even shares."""
+    left = spark.range(6000).selectExpr(
+        "id", f"CASE WHEN id % 3 < 2 THEN {repr(hot) if hot else 'NULL'} ELSE 'k' || id END AS k"
+    )
+    right = spark.range(6000).selectExpr("'k' || id AS name", "id AS v")
+    unchanged = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {key: spark.conf.get(key) for key in unchanged}
+    for key, value in unchanged.items():
+        spark.conf.set(key, value)
     try:
         joined = lookup.lookup_join(
             left, right, "k", "name", spread_by="id", max_broadcast_bytes=0
         )
-        plan = plan_of(joined)
+        assert "SortMergeJoin" in plan_of(joined)
+        shares = joined.groupBy(F.spark_partition_id().alias("task")).count().collect()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "hashpartitioning(k" in plan and "_left_salt" in plan
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(row["count"] for row in shares) == 6000
+    assert max(row["count"] for row in shares) < 6000 * 0.4
 
 
 def test_fewer_hot_keys_than_keys_changes_nothing(tables, monkeypatch):

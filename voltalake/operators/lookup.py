@@ -53,6 +53,8 @@ def lookup_join(
     ``spread_by`` is a column of ``left`` that differs within a key (its
     unique identifier): the salt is a hash of it, so a retried task sends
     each row to the same place. With ``null_safe`` NULL keys match each other.
+    Both sides are read twice (measured or counted, then joined), so they had
+    better be stored tables.
     """
     if not null_safe:
         right = right.where(F.col(right_key).isNotNull())

@@ -23,7 +23,7 @@ STATUS = "zona string, tabla string, columnas int, particiones bigint, estado st
 def refresh(
     spark: SparkSession, root: str, database: str, zone: str = "all"
 ) -> DataFrame:
-    """Bring the catalog up to date with the folders of a zone, or of all.
+    """Bring the catalog up to date with the folders ``root/zone``, of one or all.
 
     New tables, partitions and columns are added; nothing is removed. The
     tables of a zone are in ``<database>_<zone>``. Returns one status row per
@@ -34,7 +34,9 @@ def refresh(
     status = []
     for name in ZONES if zone == "all" else (zone,):
         datasets, partitions = ZONES[name]
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}_{name}")
+        spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS {database}_{name} LOCATION '{root}/catalog/{name}'"
+        )
         for dataset in datasets:
             status.append(
                 (name, dataset, *_refresh_table(

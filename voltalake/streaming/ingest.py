@@ -19,6 +19,9 @@ from voltalake.sources.layout import table_name
 
 LINES = "otros"
 FILES_PER_BATCH = 10_000
+# A file that arrives with an old timestamp is taken too: by default Spark
+# passes over files a week older than the newest one seen.
+MAX_FILE_AGE = "3650d"
 
 
 def _ingest_day(load_date: str | date | None) -> Column:
@@ -70,6 +73,7 @@ def ingest(
         .options(**CSV_READ)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", MAX_FILE_AGE)
         .csv(f"{landing}/raw/{dataset}")
     )
     tagged = _with_provenance(rows, load_date, F.lit(dataset))
@@ -91,6 +95,7 @@ def ingest_other(
     rows = (
         spark.readStream.option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", MAX_FILE_AGE)
         .option("pathGlobFilter", "*.csv")
         .text(landing)
         .withColumnRenamed("value", "linea")
