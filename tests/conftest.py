@@ -11,6 +11,7 @@ for folder in (ROOT, ROOT / "tests"):
 from voltalake import schemas as S  # noqa: E402
 from voltalake.session import SETTINGS  # noqa: E402
 
+# The sample files, whose results are known.
 DATA = ROOT / "tests" / "data"
 DAY = "2024-01-15"
 
@@ -58,7 +59,7 @@ def sample(spark):
 
 @pytest.fixture
 def dirty(raw):
-    """Small raw datasets with one of each defect."""
+    """Small raw datasets with one of each defect (fixed values)."""
     return {
         "proveedores": raw("proveedores", [
             ("EnerSol Caribe  ", "eolica", "Colombia", "350", "2021-03-15", "true"),

@@ -1,9 +1,10 @@
 import pytest
 
-from conftest import DAY, values
+from conftest import DATA, DAY, values
 from voltalake import schemas as S
-from voltalake.plans import daily
+from voltalake.plans import analytics, daily
 from voltalake.sources import catalog, files
+from voltalake.streaming import ingest
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +32,36 @@ def test_refresh_adds_tables_partitions_and_columns(spark, sample, root):
     ]
 
 
+def test_raw_and_curated_zones(spark, tmp_path):
+    root, landing = str(tmp_path / "lake"), str(tmp_path / "in")
+    files.land({name: str(DATA / f"{name}.csv") for name in S.RAW_COLUMNS}, spark, landing, DAY)
+    for name in S.RAW_COLUMNS:
+        ingest.ingest(spark, name, landing, root, str(tmp_path / "marks"), DAY)
+    daily.load_ingested(spark, root, DAY)
+    results = analytics.run_queries(daily.processed_tables(spark, root, DAY), DAY, "q1,q7")
+    for name, result in results.items():
+        files.write_curated(result, root, name)
+    status = {
+        (r["zona"], r["tabla"]): (r["particiones"], r["estado"])
+        for r in catalog.refresh(spark, root, "zonas").collect()
+    }
+    assert {k: v for k, v in status.items() if k[0] == "raw"} == {
+        ("raw", name): (None, "SUCCEEDED") for name in S.RAW_COLUMNS
+    }
+    assert {k[1] for k, v in status.items() if v[1] == "FAILED"} == {"q2", "q3", "q4", "q5", "q6"}
+    assert spark.table("zonas_raw.transacciones").where("fecha = '2024-01-15'").count() == 15
+    assert spark.table("zonas_curated.q7").count() == 9
+
+    day2 = "2024-01-16"
+    files.land({"clientes": str(DATA / "clientes.csv")}, spark, landing, day2)
+    ingest.ingest(spark, "clientes", landing, root, str(tmp_path / "marks"), day2)
+    catalog.refresh(spark, root, "zonas", "raw")
+    rows = spark.table("zonas_raw.clientes").groupBy("fecha").count()
+    assert sorted(values(rows.selectExpr("CAST(fecha AS STRING)", "count"))) == [
+        (DAY, 10), (day2, 10)
+    ]
+
+
 def test_missing_folders_are_reported(spark, tmp_path):
     status = catalog.refresh(spark, str(tmp_path), "nada", "curated")
     assert set(values(status, "zona", "estado")) == {("curated", "FAILED")}

@@ -27,7 +27,9 @@ def refresh(
 
     New tables, partitions and columns are added; nothing is removed. The
     tables of a zone are in ``<database>_<zone>``. Returns one status row per
-    table; a folder that is not there is ``FAILED`` and stops nothing.
+    table; a folder that is not there is ``FAILED`` and stops nothing. Raw
+    tables find their partitions through the log of the ingest when they are
+    read, so the catalog holds none of them.
     """
     if zone != "all" and zone not in ZONES:
         raise ValueError(f"unknown zone {zone!r}; choose from {[*ZONES, 'all']}")
@@ -60,8 +62,8 @@ def _refresh_table(
         _add_columns(spark, table, columns)
     else:
         spark.sql(_create_statement(table, folder, columns, partitions))
-    known = 0
-    if partitions:
+    known = None
+    if any(column.isPartition for column in spark.catalog.listColumns(table)):
         spark.catalog.recoverPartitions(table)
         known = spark.sql(f"SHOW PARTITIONS {table}").count()
     spark.catalog.refreshTable(table)

@@ -150,6 +150,11 @@ def read_processed(
     return rows.where(layout.matches(layout.day_parts(load_date))).drop(*S.DAY_PARTITION)
 
 
+def write_curated(df: DataFrame, root: str, name: str) -> None:
+    """Store the result of a query under ``root/curated/name``, replacing the last one."""
+    df.write.mode("overwrite").option("compression", "snappy").parquet(f"{root}/curated/{name}")
+
+
 def export(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Write a result as CSV with header, or as JSON lines."""
     if fmt not in ("csv", "json"):
