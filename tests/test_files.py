@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import DATA, DAY, plan_of, values
 from voltalake import schemas as S
 from voltalake.operators.normalize import normalize_customers, quarantine, readable
-from voltalake.session import fresh_folder, shared_folder, stage
+from voltalake.session import fresh_folder, shared_folder, sizing, stage
 from voltalake.sources import files, layout
 
 
@@ -138,3 +138,10 @@ def test_staged_rows_are_files_in_the_shared_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert f"{shared_folder(spark)}/s-" in staged.inputFiles()[0]
     assert fresh_folder(spark, "s") != fresh_folder(spark, "s")
+
+
+def test_sizing_follows_the_input():
+    def tasks(size):
+        return int(sizing(size)["spark.sql.shuffle.partitions"])
+
+    assert [tasks(0), tasks(10 * 2**30), tasks(100 * 10**12)] == [8, 40, 50_000]

@@ -45,16 +45,17 @@ def test_both_forms_equal_brute_force(tables, null_safe, limit):
     assert joined.columns == ["id", "k", "name", "v"]
 
 
-def test_only_a_measured_small_side_is_hinted(spark, tables):
+def test_the_measured_size_decides(tables):
     _, _, left, right = tables
+    size = lookup.measured_bytes(right.where("name IS NOT NULL"))
 
-    def hints(limit):
+    def salted(limit):
         joined = lookup.lookup_join(
             left, right, "k", "name", spread_by="id", max_broadcast_bytes=limit
         )
-        return "strategy=broadcast" in plan_of(joined, "extended")
+        return "_left_salt" in plan_of(joined, "extended")
 
-    assert hints(lookup.BROADCAST_BYTES) and not hints(0)
+    assert not salted(size) and salted(size - 1)
 
 
 @pytest.mark.parametrize("hot", ["hot", None])
@@ -85,13 +86,24 @@ def test_no_task_holds_a_hot_key_whole(spark, hot):
     assert max(row["count"] for row in shares) < 6000 * 0.4
 
 
-def test_fewer_hot_keys_than_keys_changes_nothing(tables, monkeypatch):
+def test_which_keys_are_hot_changes_nothing(tables, monkeypatch):
     left, right, left_df, right_df = tables
-    monkeypatch.setattr(lookup.frequent_keys, "__defaults__", (1,))
-    joined = lookup.lookup_join(
-        left_df, right_df, "k", "name", spread_by="id", max_broadcast_bytes=0
+    for chosen in ([], [("a", 5), ("absent", 3)], [(None, 7), ("hot", 1)]):
+        monkeypatch.setattr(lookup, "hot_keys", lambda *_: chosen)
+        joined = lookup.lookup_join(
+            left_df, right_df, "k", "name", spread_by="id", null_safe=True, max_broadcast_bytes=0
+        )
+        assert sorted(values(joined), key=repr) == brute_force(left, right, True)
+
+
+def test_hot_keys_fill_more_than_a_task(spark):
+    rows = spark.createDataFrame(
+        [("a",)] * 50 + [(None,)] * 30 + [("b",)] * 10 + [(str(i),) for i in range(10)], "k string"
     )
-    assert sorted(values(joined), key=repr) == brute_force(left, right, False)
+    assert lookup.hot_keys(rows, "k", 10) == [("a", 5), (None, 3)]
+    assert lookup.hot_keys(rows, "k", 10, limit=1) == [("a", 5)]
+    assert lookup.hot_keys(rows, "k", 1) == []
+    assert lookup.hot_keys(rows.where("false"), "k", 10) == []
 
 
 def test_measured_bytes_counts_text_and_rows(spark):

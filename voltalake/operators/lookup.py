@@ -1,21 +1,21 @@
 """Left join of a large table to a reference table, safe under skew.
 
 The reference side is measured first. If it is small it is broadcast and the
-large side stays where it is. If not, both sides are shuffled, and the most
-frequent keys of the large side are split over many tasks by a salt.
+large side stays where it is. If not, both sides are shuffled, and each key
+of the large side that fills more than one task is split by a salt.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 1000
-MAX_SALTS = 200
+HOT_KEYS = 10_000
 _ROW_OVERHEAD = 16
 
 
@@ -26,16 +26,23 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def frequent_keys(df: DataFrame, key: str, limit: int = HOT_KEYS) -> list:
-    """The ``limit`` most frequent non-null values: a list of bounded length."""
-    top = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .count()
-        .orderBy(F.col("count").desc(), F.col(key))
+def hot_keys(df: DataFrame, key: str, tasks: int, limit: int = HOT_KEYS) -> list[tuple]:
+    """Keys with more rows than an even share of a task, as ``(key, pieces)``.
+
+    A key is cut into as many pieces as it fills tasks. At most ``limit`` keys
+    are returned, the largest first; NULL is a key too.
+    """
+    seen = Observation()
+    largest = (
+        df.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .observe(seen, F.sum("n").alias("rows"))
+        .orderBy(F.col("n").desc())
         .limit(limit)
+        .collect()
     )
-    return [row[key] for row in top.collect()]
+    share = (seen.get["rows"] or 0) / tasks
+    return [(row[key], ceil(row["n"] / share)) for row in largest if row["n"] > share]
 
 
 def lookup_join(
@@ -76,21 +83,31 @@ def _salted_join(
     spread_by: str,
     null_safe: bool,
 ) -> DataFrame:
-    """NULL and the frequent keys are split by a salt, their matches copied to each salt.
+    """Hot keys are cut in pieces by a salt, and their matches copied to each piece.
 
-    Which keys count as frequent only moves work around; the result is the same.
+    All pieces together are about as many as the tasks of the shuffle, which
+    bounds the copies. Which keys count as hot only moves work around; the
+    result is the same.
     """
-    salts = max(2, min(MAX_SALTS, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    hot = frequent_keys(left, left_key)
-
-    def is_hot(key: Column) -> Column:
-        return key.isNull() | key.isin(hot)
-
-    salt = F.pmod(F.xxhash64(F.col(spread_by)), F.lit(salts)).cast("int")
-    spread = left.withColumn("_left_salt", F.when(is_hot(F.col(left_key)), salt).otherwise(0))
-    copies = F.when(is_hot(F.col(right_key)), F.sequence(F.lit(0), F.lit(salts - 1)))
-    copied = right.withColumn("_right_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-    matches = _equal(spread[left_key], copied[right_key], null_safe) & (
-        spread["_left_salt"] == copied["_right_salt"]
+    spark = left.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kind = left.schema[left_key].dataType.simpleString()
+    hot = F.broadcast(
+        spark.createDataFrame(hot_keys(left, left_key, tasks), f"_hot {kind}, _pieces int")
+    )
+
+    def with_pieces(df: DataFrame, key: str) -> DataFrame:
+        return df.join(hot, df[key].eqNullSafe(hot["_hot"]), "left").drop("_hot")
+
+    pieces = F.coalesce(F.col("_pieces"), F.lit(1))
+    cut = with_pieces(left, left_key).withColumn(
+        "_left_salt", F.pmod(F.xxhash64(F.col(spread_by)), pieces).cast("int")
+    )
+    copied = with_pieces(right, right_key).withColumn(
+        "_right_salt", F.explode(F.sequence(F.lit(0), pieces - 1))
+    )
+    cut, copied = cut.drop("_pieces"), copied.drop("_pieces")
+    matches = _equal(cut[left_key], copied[right_key], null_safe) & (
+        cut["_left_salt"] == copied["_right_salt"]
     )
-    return spread.join(copied, matches, "left").drop("_left_salt", "_right_salt")
+    return cut.join(copied, matches, "left").drop("_left_salt", "_right_salt")

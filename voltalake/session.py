@@ -6,10 +6,11 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
-# What a job of this package expects. Parallelism is left to the cluster.
+# What a job of this package expects.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -19,10 +20,29 @@ SETTINGS = {
 }
 
 
-def build_session(app_name: str = "voltalake", **extra: str) -> SparkSession:
-    """Get or create a session with the settings above."""
+# A shuffle task takes this much of the input. Beyond the highest number of
+# tasks the many small blocks of a shuffle cost more than tasks that spill.
+TASK_BYTES = 256 * 1024 * 1024
+MAX_TASKS = 50_000
+
+
+def sizing(input_bytes: int) -> dict[str, str]:
+    """Settings for the amount of data; adaptive execution merges tasks that get little."""
+    tasks = min(MAX_TASKS, max(8, ceil(input_bytes / TASK_BYTES)))
+    return {
+        "spark.sql.shuffle.partitions": str(tasks),
+        "spark.sql.files.maxPartitionBytes": str(TASK_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES // 2),
+    }
+
+
+def build_session(
+    app_name: str = "voltalake", input_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """Get or create a session with the settings above, sized if the input is known."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SETTINGS, **extra}.items():
+    sized = {} if input_bytes is None else sizing(input_bytes)
+    for key, value in {**SETTINGS, **sized, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
