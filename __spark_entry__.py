@@ -27,6 +27,15 @@ from voltalake.sources import catalog, files  # noqa: E402
 from voltalake.sources import warehouse as warehouse_tables  # noqa: E402
 from voltalake.streaming import ingest  # noqa: E402
 
+try:
+    from voltalake.llm import queries as corpus
+except ImportError:
+    corpus = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -270,7 +279,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    """One callable per operator of the inventory."""
+    """One callable per operator of the inventory, and those on corpora if they are there."""
+    return own_queries() | corpus_queries()
+
+
+def corpus_queries() -> dict[str, Query]:
+    found = dict(corpus.queries()) if corpus else {}
+    return found | ({"pipeline": corpus_pipeline.run} if corpus_pipeline else {})
+
+
+def own_queries() -> dict[str, Query]:
     return {
         "scan_csv": scan_csv,
         "scan_partition": scan_partition,
@@ -324,4 +342,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for each query."""
-    return dict(ORACLES)
+    found = dict(ORACLES) | (corpus.oracle_sql() if corpus else {})
+    sql = corpus_pipeline.ORACLE_SQL if corpus_pipeline else None
+    return found | ({"pipeline": sql} if sql else {})
