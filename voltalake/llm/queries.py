@@ -12,6 +12,7 @@ from voltalake.llm import (
     decontamination,
     extraction,
     language,
+    near_duplicates,
     packing,
     quality_rules,
     resampling,
@@ -58,6 +59,10 @@ def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), str(path))
 
 
+def op8_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return quality_rules.judge(docs, quality_rules.learn(docs, table(spark, sf, "labels")))
@@ -79,6 +84,7 @@ def queries() -> dict[str, Query]:
         "op5_page_differencing": op5_page_differencing,
         "op6_language_id": op6_language_id,
         "op7_best_fit_packing": op7_best_fit_packing,
+        "op8_near_duplicates": op8_near_duplicates,
         "op9_quality_rules": op9_quality_rules,
         "op10_decontamination": op10_decontamination,
     }
