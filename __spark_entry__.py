@@ -22,7 +22,7 @@ from voltalake import schemas as S  # noqa: E402
 from voltalake.functions import columns as C  # noqa: E402
 from voltalake.operators import enrich, integrate, normalize, quality  # noqa: E402
 from voltalake.plans import analytics, daily, star, warehouse  # noqa: E402
-from voltalake.session import fresh_folder, stage  # noqa: E402
+from voltalake.session import fresh_folder, ship, stage  # noqa: E402
 from voltalake.sources import catalog, files  # noqa: E402
 from voltalake.sources import warehouse as warehouse_tables  # noqa: E402
 from voltalake.streaming import ingest  # noqa: E402
@@ -284,8 +284,19 @@ def queries() -> dict[str, Query]:
 
 
 def corpus_queries() -> dict[str, Query]:
+    """Their functions run in Python workers, so each sends the package first."""
     found = dict(corpus.queries()) if corpus else {}
-    return found | ({"pipeline": corpus_pipeline.run} if corpus_pipeline else {})
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+
+    def shipped(query: Query) -> Query:
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            ship(spark)
+            return query(spark, sf)
+
+        return run
+
+    return {name: shipped(query) for name, query in found.items()}
 
 
 def own_queries() -> dict[str, Query]:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from math import ceil
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -94,3 +96,17 @@ def work_folder(spark: SparkSession, name: str) -> Iterator[str]:
         location = spark._jvm.org.apache.hadoop.fs.Path(path)
         system = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         system.delete(location, True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which may not see its folder."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="voltalake-")) / package.name
+    context.addPyFile(shutil.make_archive(str(archive), "zip", package.parent, package.name))
+    _SHIPPED.add(context.applicationId)
