@@ -16,6 +16,7 @@ from voltalake.llm import (
     packing,
     quality_rules,
     resampling,
+    suffix_dedup,
     token_counts,
     toxicity,
 )
@@ -37,6 +38,10 @@ def op2_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
     return resampling.resample(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op3_prefix_free_parsing(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf, "documents")).drop("kept")
+
+
 def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = toxicity.learn(docs, table(spark, sf, "labels"))
@@ -80,6 +85,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_importance_resampling": op2_importance_resampling,
+        "op3_prefix_free_parsing": op3_prefix_free_parsing,
         "op4_toxicity": op4_toxicity,
         "op5_page_differencing": op5_page_differencing,
         "op6_language_id": op6_language_id,

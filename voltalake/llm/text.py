@@ -98,7 +98,7 @@ class Portion(NamedTuple):
 
     def hashes(self) -> np.ndarray:
         """64-bit hash of each word: a polynomial in scrambled code points."""
-        power, inverse = _powers(len(self.values) + 1)
+        power, inverse = powers(len(self.values) + 1)
         total = np.zeros(len(self.values) + 1, np.uint64)
         np.cumsum(self.values * power[:-1], out=total[1:])
         length = (self.ends - self.starts).astype(np.uint64)
@@ -112,7 +112,7 @@ class Portion(NamedTuple):
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2 to the 64."""
     if len(_POWERS[0]) < n:
         base = int(K1)
