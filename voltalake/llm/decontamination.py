@@ -269,3 +269,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
             F.flatten(F.collect_list("items")).alias("items"),
         )
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The documents that are not contaminated, with all their columns."""
+    found = contamination(docs, benchmark, width).filter("contaminated")
+    bad = stage(found.select("doc_id").distinct(), "contaminated")
+    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)

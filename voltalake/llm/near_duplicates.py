@@ -41,7 +41,7 @@ from voltalake.llm.components import components
 from voltalake.llm.text import LOWER, Batch, map_batches, mixed, portions, read, texts
 from voltalake.session import stage
 
-SHINGLE = 2
+SHINGLE = 5
 SIMILAR = 80  # hundredths
 TREES, DEPTH, TAIL = 24, 4, 8
 VALUES = TREES * DEPTH
@@ -330,3 +330,9 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         F.col("doc_id").eqNullSafe(component).alias("kept"),
         "class_id",
     )
+
+
+def without_copies(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """The documents that are their component's smallest id, with all their columns."""
+    copies = near_duplicates(docs, size).filter("not kept").select("doc_id").distinct()
+    return docs.join(stage(copies, "copies"), "doc_id", "left_anti").select(docs.columns)

@@ -65,7 +65,7 @@ def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
-    return near_duplicates.near_duplicates(table(spark, sf, "documents"))
+    return near_duplicates.near_duplicates(table(spark, sf, "documents"), size=2)
 
 
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:

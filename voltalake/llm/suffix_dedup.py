@@ -25,7 +25,7 @@ it is shuffled, and beyond ``HOT`` rows its strings are dealt out one by one.
 Null and empty texts have nothing to remove. Rows with a null id are never
 matched and stay whole. Rows that repeat an id must repeat the text too; they
 do not match each other and get equal results. Other columns pass through
-``deduplicated`` as they are.
+``without_repeats`` as they are.
 """
 
 from __future__ import annotations
@@ -383,3 +383,46 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     joined = _packed(docs).join(listed, "doc_id", "left").select("doc_id", "packed", "runs")
     return map_batches(joined, RESULT, cut)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The documents with what is kept as their text, and ``n_chars`` (if any) to match.
+
+    A character that a cut leaves in part goes whole.
+    """
+    listed = repeats(docs).groupBy("doc_id").agg(
+        F.collect_list(F.struct("first", "last")).alias("runs")
+    )
+    # The columns travel as one, so that none of their names can clash.
+    row = F.struct(*(c for c in docs.columns if c != "text")).alias("row")
+    boxed = docs.select("doc_id", "text", F.col("text").isNull().alias("blank"), row)
+
+    def pack(batch: Batch) -> Batch:
+        coder = zstandard.ZstdCompressor(level=1)
+        packed = pa.array([coder.compress(x) for x in texts(batch)], pa.binary())
+        columns = [batch.column("doc_id"), packed, batch.column("blank"), batch.column("row")]
+        return pa.record_batch(columns, ["doc_id", "packed", "blank", "row"])
+
+    kind = boxed.schema["row"].dataType.simpleString()
+    packed = map_batches(boxed, f"doc_id long, packed binary, blank boolean, row {kind}", pack)
+
+    def cut(batch: Batch) -> Batch:
+        runs = batch.column("runs").to_pylist()
+        kept = [
+            _cut(x, y or [])[2].decode(errors="ignore")
+            for x, y in zip(_unpacked(batch), runs, strict=True)
+        ]
+        kept = [None if x else y for x, y in zip(batch.column("blank").to_pylist(), kept, strict=True)]
+        return pa.record_batch([pa.array(kept, pa.string()), batch.column("row")], ["text", "row"])
+
+    joined = packed.join(listed, "doc_id", "left").select("packed", "blank", "row", "runs")
+    done = map_batches(joined, f"text string, row {kind}", cut)
+    columns = {
+        "text": F.col("text"),
+        "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)
+        if "n_chars" in docs.columns
+        else None,
+    }
+    return done.select(
+        *(columns.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns)
+    )
