@@ -1,0 +1,48 @@
+"""The registered queries: against DuckDB where SQL can express them, else their contract."""
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import comparison
+from voltalake.llm.queries import oracle_sql, queries
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="driver tables not present")
+
+COLUMNS = {
+    "op1_token_counts": ["doc_id", "n_words", "n_tokens", "score"],
+    "op2_importance_resampling": ["doc_id", "log_weight", "key", "kept"],
+    "op4_toxicity": ["doc_id", "held_out", "score", "predicted"],
+    "op5_page_differencing": ["page_id", "url", "text", "n_chars"],
+    "op6_language_id": ["doc_id", "held_out", "lang_pred", "score"],
+    "op7_best_fit_packing": [
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset",
+    ],
+    "op9_quality_rules": [
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "score", "kept",
+    ],
+}
+
+
+@pytest.mark.parametrize("name", oracle_sql())
+def test_sql(spark, name):
+    result = queries()[name](spark, FOLDER).toArrow()
+    expected = comparison.connect(FOLDER).sql(oracle_sql()[name]).to_arrow_table()
+    assert comparison.differences(result, expected) == []
+
+
+@pytest.mark.parametrize("name", COLUMNS)
+def test_columns_and_rows(spark, name):
+    result = queries()[name](spark, FOLDER)
+    assert result.columns == COLUMNS[name]
+    table, key = ("pages", "page_id") if name.startswith("op5") else ("documents", "doc_id")
+    ids = duckdb.sql(f"SELECT {key} FROM '{FOLDER}/{table}.parquet' ORDER BY 1").fetchall()
+    found = result.select(key).distinct().orderBy(key).collect()
+    assert [tuple(x) for x in found] == ids
+
+
+def test_every_query_is_named():
+    assert set(queries()) == set(COLUMNS) | set(oracle_sql())
