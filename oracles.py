@@ -64,13 +64,13 @@ def _iso_day(text: str) -> str:
 
 
 def _exact(value: str) -> str:
-    """Sum in decimals, as a double."""
-    return f"CAST(SUM(CAST({value} AS DECIMAL(28,6))) AS DOUBLE)"
+    """Sum of doubles with the rounding errors carried along."""
+    return f"FSUM({value})"
 
 
 def _mean(value: str, digits: int = 2) -> str:
     """Average, rounded half up in decimals."""
-    quotient = f"CAST({_exact(value)} / COUNT({value}) AS DECIMAL(28,6))"
+    quotient = f"CAST({_exact(value)} / COUNT({value}) AS DECIMAL(28,8))"
     return f"CAST(ROUND({quotient}, {digits}) AS DOUBLE)"
 
 
@@ -310,7 +310,9 @@ _REPORT = " UNION ALL ".join([
             "tipo_transaccion_valido": "tipo_transaccion NOT IN ('compra', 'venta')",
             "cantidad_positiva": "cantidad_kwh <= 0",
             "precio_positivo": "precio_cop_kwh <= 0",
-            "desviacion_coherente": "sobre_precio_promedio AND desviacion_precio_pct < 0",
+            "desviacion_coherente": "(sobre_precio_promedio AND desviacion_precio_pct < 0) "
+            "OR (NOT sobre_precio_promedio AND desviacion_precio_pct > 0)",
+            "desviacion_redondeada": "sobre_precio_promedio AND desviacion_precio_pct = 0",
         } | _fits(_FACT_TEXT_LIMITS, {
             "cantidad_kwh": "DECIMAL(18,2)",
             "precio_cop_kwh": "DECIMAL(12,4)",

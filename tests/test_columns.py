@@ -69,3 +69,11 @@ def test_exact_sum_does_not_depend_on_the_partitioning(spark, cents):
         df.repartition(n).agg(exact_sum(F.col("v"))).first()[0] for n in (1, 3)
     }
     assert sums == {sum(cents) / 100}
+
+
+def test_exact_sum_keeps_small_digits(spark):
+    df = spark.range(100_000).selectExpr("4e-7D AS v")
+    assert df.agg(exact_sum(F.col("v"))).first()[0] == pytest.approx(0.04)
+    mixed = df.unionByName(spark.createDataFrame([(1e9,), (0.25,)], "v double"))
+    found = [mixed.repartition(n).agg(exact_sum(F.col("v"))).first()[0] for n in (1, 50)]
+    assert found == [pytest.approx(1e9 + 0.29, abs=1e-9)] * 2

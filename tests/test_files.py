@@ -145,3 +145,13 @@ def test_sizing_follows_the_input():
         return int(sizing(size)["spark.sql.shuffle.partitions"])
 
     assert [tasks(0), tasks(10 * 2**30), tasks(100 * 10**12)] == [8, 40, 50_000]
+
+
+def test_a_load_without_rows_replaces_the_last(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.createDataFrame([("a",)], "tipo_energia string")
+    for day in ("2024-01-14", DAY):
+        files.write_processed(rows, root, "metricas_energia", day)
+    assert files.write_processed(rows.where("false"), root, "metricas_energia", DAY) == 0
+    assert files.read_processed(spark, root, "metricas_energia", DAY).isEmpty()
+    assert files.read_processed(spark, root, "metricas_energia").count() == 1

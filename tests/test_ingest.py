@@ -1,3 +1,4 @@
+import os
 import shutil
 from pathlib import Path
 
@@ -52,9 +53,13 @@ def test_other_tables_are_kept_as_lines(spark, tmp_path):
     folder.mkdir(parents=True)
     (folder / "Medidores.csv").write_text("a,b\n1,2\n")
     (folder / "clientes.csv").write_text("x\n9\n")
+    (folder / "Ventas.csv").mkdir()
+    (folder / "Ventas.csv" / "part-0.csv").write_text("z\n")
     ingest.ingest_other(spark, landing, root, marks, DAY)
     rows = ingest.read_ingested(spark, root, ingest.LINES)
-    assert sorted(values(rows, "tabla", "linea")) == [("medidores", "1,2"), ("medidores", "a,b")]
+    assert sorted(values(rows, "tabla", "linea")) == [
+        ("medidores", "1,2"), ("medidores", "a,b"), ("ventas", "z"),
+    ]
 
 
 def test_batches_of_files_take_everything(spark, tmp_path):
@@ -79,3 +84,50 @@ def test_landing_to_processed_tables(spark, tmp_path):
         "metricas_energia": 6, "metricas_segmento": 3,
     }
     assert not list(Path(shared_folder(spark)).glob("load-*"))
+
+
+def test_each_file_goes_to_one_stream(spark, sample, tmp_path):
+    landing, root, marks = (str(tmp_path / n) for n in ("in", "lake", "marks"))
+    files.land(sample, spark, landing, DAY)
+    shutil.copy(DATA / "clientes.csv", tmp_path / "in" / "CLIENTES.csv")
+    (tmp_path / "in" / "notas.csv").write_text("n\n")
+    for _ in range(2):
+        for name in S.RAW_COLUMNS:
+            ingest.ingest(spark, name, landing, root, marks, DAY)
+        ingest.ingest_other(spark, landing, root, marks, DAY)
+    counts = {name: ingest.read_ingested(spark, root, name).count() for name in S.RAW_COLUMNS}
+    assert counts == {"proveedores": 10, "clientes": 20, "transacciones": 15}
+    assert values(ingest.read_ingested(spark, root, ingest.LINES), "tabla", "linea") == [("notas", "n")]
+
+
+def test_old_files_are_taken_in_later_runs(spark, tmp_path):
+    landing, root, marks = (str(tmp_path / n) for n in ("in", "lake", "marks"))
+    folder = tmp_path / "in" / "raw" / "proveedores"
+    folder.mkdir(parents=True)
+    for n, name in enumerate(("new.csv", "old.csv")):
+        shutil.copy(DATA / "proveedores.csv", folder / name)
+        if name == "old.csv":
+            os.utime(folder / name, (0, 0))
+        ingest.ingest(spark, "proveedores", landing, root, marks, DAY)
+        assert ingest.read_ingested(spark, root, "proveedores").count() == 10 * (n + 1)
+
+
+def test_landing_again_replaces(spark, sample, tmp_path):
+    landing, root, marks = (str(tmp_path / n) for n in ("in", "lake", "marks"))
+    for rows in (sample["proveedores"], sample["proveedores"].limit(4)):
+        files.land({"proveedores": rows}, spark, landing, DAY)
+        ingest.ingest(spark, "proveedores", landing, root, marks, DAY)
+    assert ingest.read_ingested(spark, root, "proveedores", DAY).count() == 4
+
+
+def test_taken_files_are_archived(spark, tmp_path):
+    landing, root, marks = (str(tmp_path / n) for n in ("in", "lake", "marks"))
+    folder = tmp_path / "in" / "raw" / "clientes"
+    folder.mkdir(parents=True)
+    for k in range(3):
+        shutil.copy(DATA / "clientes.csv", folder / f"{k}.csv")
+        ingest.ingest(
+            spark, "clientes", landing, root, marks, DAY, archive=str(tmp_path / "done")
+        )
+    assert ingest.read_ingested(spark, root, "clientes").count() == 30
+    assert len(list(folder.glob("*.csv"))) < 3

@@ -101,7 +101,6 @@ def test_hot_keys_fill_more_than_a_task(spark):
         [("a",)] * 50 + [(None,)] * 30 + [("b",)] * 10 + [(str(i),) for i in range(10)], "k string"
     )
     assert lookup.hot_keys(rows, "k", 10) == [("a", 5), (None, 3)]
-    assert lookup.hot_keys(rows, "k", 10, limit=1) == [("a", 5)]
     assert lookup.hot_keys(rows, "k", 1) == []
     assert lookup.hot_keys(rows.where("false"), "k", 10) == []
 

@@ -67,6 +67,26 @@ def test_text_too_long_fails_the_load(spark, processed):
         tables.load(spark, {**processed, "proveedores": wide}, "dwh_long")
 
 
+def test_failed_load_leaves_all_content(spark, processed):
+    tables.create_tables(spark, "dwh_kept")
+    tables.load(spark, processed, "dwh_kept")
+    for column, value in (("id_transaccion", "repeat('x', 101)"), ("id_transaccion", "NULL")):
+        wide = processed["transacciones"].selectExpr(
+            f"* EXCEPT ({column})", f"CAST({value} AS STRING) AS {column}"
+        )
+        with pytest.raises(ValueError, match=column):
+            tables.load(spark, {**processed, "transacciones": wide}, "dwh_kept")
+        assert spark.table("dwh_kept.fact_transacciones").count() == 15
+        assert spark.table("dwh_kept.dim_proveedores").count() == 10
+
+
+def test_load_counts_numbers_that_do_not_fit(spark, processed):
+    tables.create_tables(spark, "dwh_lost")
+    huge = processed["proveedores"].selectExpr("* EXCEPT (capacidad_mw)", "1e15D AS capacidad_mw")
+    status = tables.load(spark, {**processed, "proveedores": huge}, "dwh_lost")
+    assert dict(values(status, "tabla", "no_caben"))["dim_proveedores"] == 10
+
+
 def test_facts_are_gathered_by_month_and_split_if_large(processed):
     rows = warehouse.warehouse_rows(processed["transacciones"], "fact_transacciones")
     plan = plan_of(tables.laid_out(rows, "fact_transacciones"))

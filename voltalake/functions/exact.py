@@ -1,9 +1,11 @@
-"""Sums of doubles that do not depend on the order of the rows.
+"""Sums of doubles that hardly depend on the order of the rows.
 
 A plain sum of doubles changes in its last digits with the partitioning, and
-with it the rounded total. Here each value is added as DECIMAL(28,6); the few
-that do not fit (infinite, not a number, 1e22 and above) are added as doubles
-beside it, so nothing is left out.
+with it the rounded total. Here each value is split: its DECIMAL(28,6) form is
+added exactly, and what that form leaves over is added as a double beside it.
+Amounts of up to six decimals leave nothing over. Values without a decimal form
+(infinite, not a number, 1e22 and above) are added as doubles whole, so no
+digit of any value is left out.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ def decimal_part(value: Column) -> Column:
 
 
 def double_part(value: Column) -> Column:
-    """The value where it has no decimal form, else NULL."""
-    return F.when(decimal_part(value).isNull(), value)
+    """What the decimal part leaves over: the value itself where it has none."""
+    return F.coalesce(value - decimal_part(value).cast("double"), value)
 
 
 def joined_total(decimals: Column, doubles: Column) -> Column:

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 10_000
 _ROW_OVERHEAD = 16
 
 
@@ -26,11 +25,12 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def hot_keys(df: DataFrame, key: str, tasks: int, limit: int = HOT_KEYS) -> list[tuple]:
+def hot_keys(df: DataFrame, key: str, tasks: int) -> list[tuple]:
     """Keys with more rows than an even share of a task, as ``(key, pieces)``.
 
-    A key is cut into as many pieces as it fills tasks. At most ``limit`` keys
-    are returned, the largest first; NULL is a key too.
+    A key is cut into as many pieces as it fills tasks. There are fewer such
+    keys than tasks, so the largest ``tasks`` keys hold them all; NULL is a key
+    too.
     """
     seen = Observation()
     largest = (
@@ -38,7 +38,7 @@ def hot_keys(df: DataFrame, key: str, tasks: int, limit: int = HOT_KEYS) -> list
         .agg(F.count(F.lit(1)).alias("n"))
         .observe(seen, F.sum("n").alias("rows"))
         .orderBy(F.col("n").desc())
-        .limit(limit)
+        .limit(tasks)
         .collect()
     )
     share = (seen.get["rows"] or 0) / tasks

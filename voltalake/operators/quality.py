@@ -41,7 +41,10 @@ def row_checks(dataset: str) -> dict[str, Column]:
         "tipo_transaccion_valido": ~c("tipo_transaccion").isin(*S.TRANSACTION_TYPES),
         "cantidad_positiva": c("cantidad_kwh") <= 0,
         "precio_positivo": c("precio_cop_kwh") <= 0,
-        "desviacion_coherente": c("sobre_precio_promedio") & (c("desviacion_precio_pct") < 0),
+        "desviacion_coherente": (c("sobre_precio_promedio") & (c("desviacion_precio_pct") < 0))
+        | (~c("sobre_precio_promedio") & (c("desviacion_precio_pct") > 0)),
+        # Above the average by less than the rounding shows.
+        "desviacion_redondeada": c("sobre_precio_promedio") & (c("desviacion_precio_pct") == 0),
     }
 
 

@@ -84,12 +84,9 @@ def land(
             seen = Observation()
             (
                 rows.observe(seen, F.count(F.lit(1)).alias("filas"))
-                .withColumns(layout.literals(parts))
                 .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
                 .options(**CSV_WRITE)
-                .partitionBy(*parts)
-                .csv(f"{root}/raw/{dataset}")
+                .csv(f"{root}/raw/{dataset}/{layout.as_path(parts)}")
             )
             results.append((dataset, target, seen.get["filas"], "ok"))
     return spark.createDataFrame(
@@ -116,19 +113,16 @@ def write_processed(
 ) -> int:
     """Write one load of a processed table and return its number of rows.
 
-    Only the partition of the load date is replaced, so a load can run again.
-    The rows are counted on the way.
+    The folder of the load date is replaced and no other, so a load can run again,
+    also with no rows. The rows are counted on the way.
     """
     parts = layout.day_parts(load_date)
     seen = Observation()
     (
         df.observe(seen, F.count(F.lit(1)).alias("filas"))
-        .withColumns(layout.literals(parts))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
-        .partitionBy(*parts)
-        .parquet(f"{root}/processed/{dataset}")
+        .parquet(f"{root}/processed/{dataset}/{layout.as_path(parts)}")
     )
     return seen.get["filas"]
 

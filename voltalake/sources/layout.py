@@ -44,5 +44,5 @@ def table_name(path: Column) -> Column:
 
     A CSV that Spark wrote is a folder ``name.csv`` of part files.
     """
-    stem = F.regexp_extract(path, r"([^/]+)\.csv/part-[^/]*$", 1)
-    return F.lower(F.when(stem != "", stem).otherwise(F.regexp_extract(path, r"([^/]+)\.csv$", 1)))
+    stem = F.regexp_extract(path, r"(?i)([^/]+)\.csv/part-[^/]*$", 1)
+    return F.lower(F.when(stem != "", stem).otherwise(F.regexp_extract(path, r"(?i)([^/]+)\.csv$", 1)))

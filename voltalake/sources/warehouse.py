@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voltalake import schemas as S
 from voltalake.plans.warehouse import warehouse_rows
+from voltalake.session import stage, work_folder
 
 # The fact table lies by month, sorted by day inside each file. The others
 # are small and have no partitions.
 _PARTITIONS = {"fact_transacciones": ("anio", "mes")}
-LOAD_STATUS = "dataset string, tabla string, estado string"
+LOAD_STATUS = "dataset string, tabla string, estado string, no_caben bigint"
 
 
 def create_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -30,24 +32,59 @@ def load(
 ) -> DataFrame:
     """Replace the content of each warehouse table by its processed dataset.
 
-    A dataset without rows is skipped and the old content stays; the first
-    error ends the load. Returns ``dataset, tabla, estado``.
+    All tables are checked and their rows made ready before the first one is
+    touched, so a load that fails leaves the old content everywhere. A dataset
+    without rows is skipped and the old content stays. Returns ``dataset, tabla,
+    estado, no_caben``, the last being the numbers that their columns cannot
+    hold and that become NULL.
     """
     status = []
-    for dataset, table in S.WAREHOUSE_OF.items():
-        if processed[dataset].isEmpty():
-            status.append((dataset, table, "omitido"))
-            continue
-        rows = laid_out(warehouse_rows(processed[dataset], table), table)
-        target = spark.table(f"{database}.{table}").columns
-        if table in _PARTITIONS:
-            # A session in dynamic mode would keep the partitions that get no rows.
-            spark.sql(f"TRUNCATE TABLE {database}.{table}")
-        rows.select(*target).write.insertInto(f"{database}.{table}", overwrite=True)
-        status.append((dataset, table, "ok"))
+    with work_folder(spark, "warehouse") as folder:
+        ready = {}
+        for dataset, table in S.WAREHOUSE_OF.items():
+            if processed[dataset].isEmpty():
+                status.append((dataset, table, "omitido", None))
+                continue
+            lost = checked(processed[dataset], table)
+            rows = laid_out(warehouse_rows(processed[dataset], table), table)
+            ready[table] = stage(rows, table, folder)
+            status.append((dataset, table, "ok", lost))
+        for table, rows in ready.items():
+            target = spark.table(f"{database}.{table}").columns
+            if table in _PARTITIONS:
+                # A session in dynamic mode would keep the partitions that get no rows.
+                spark.sql(f"TRUNCATE TABLE {database}.{table}")
+            rows = laid_out(rows, table)
+            rows.select(*target).write.insertInto(f"{database}.{table}", overwrite=True)
     return spark.createDataFrame(status, LOAD_STATUS)
 
 
+def checked(rows: DataFrame, table: str) -> int:
+    """How many numbers do not fit in the table's columns.
+
+    A missing value in a required column or a text that is too long is an error.
+    """
+    numbers, errors = [F.lit(0)], {}
+    for name, kind in S.WAREHOUSE[table].items():
+        plain = kind.removesuffix(" not null")
+        if plain != kind:
+            errors[f"{name} is missing"] = F.col(name).isNull()
+        if plain.startswith("varchar"):
+            limit = int(plain[len("varchar(") : -1])
+            errors[f"{name} EXCEED_LIMIT_LENGTH {limit}"] = F.length(name) > limit
+        elif plain.startswith("decimal"):
+            lost = F.col(name).isNotNull() & F.col(name).try_cast(plain).isNull()
+            numbers.append(lost.cast("int"))
+    counted = rows.agg(
+        F.sum(sum(numbers[1:], numbers[0])).alias("_lost"),
+        *[F.count_if(bad).alias(what) for what, bad in errors.items()],
+    ).first()
+    wrong = {what: counted[what] for what in errors if counted[what]}
+    if wrong:
+        raise ValueError(f"{table} cannot be loaded; rows by fault: {wrong}")
+    return counted["_lost"] or 0
+
+
 def laid_out(rows: DataFrame, table: str) -> DataFrame:
     """Rows in the file layout of a table: sorted, and the facts gathered by month.
 
@@ -62,11 +99,12 @@ def laid_out(rows: DataFrame, table: str) -> DataFrame:
 def load_jdbc(
     processed: Mapping[str, DataFrame], url: str, schema: str, properties: dict[str, str]
 ) -> None:
-    """The same load into an external database: truncate, then insert."""
+    """The same load into an external database: check, stage, truncate, insert."""
     for dataset, table in S.WAREHOUSE_OF.items():
         if processed[dataset].isEmpty():
             continue
-        rows = warehouse_rows(processed[dataset], table)
+        checked(processed[dataset], table)
+        rows = stage(warehouse_rows(processed[dataset], table), f"jdbc-{table}")
         rows.write.mode("overwrite").option("truncate", "true").jdbc(
             url, f"{schema}.{table}", properties=properties
         )

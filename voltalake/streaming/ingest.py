@@ -3,6 +3,11 @@
 Each run takes the files that arrived since the last one and stops. The
 checkpoint remembers the files, so a file is taken once even when a run is
 repeated after a failure.
+
+A file belongs to a dataset if it lies under ``raw/<dataset>/``, whatever its
+name, or else if its stem is the dataset's name. All other files are kept as
+lines under their own table. So each file is taken by one stream and none is
+left behind.
 """
 
 from __future__ import annotations
@@ -19,9 +24,11 @@ from voltalake.sources.layout import table_name
 
 LINES = "otros"
 FILES_PER_BATCH = 10_000
-# A file that arrives with an old timestamp is taken too: by default Spark
-# passes over files a week older than the newest one seen.
-MAX_FILE_AGE = "3650d"
+# By default Spark passes over files a week older than the newest one seen. No
+# file is older than this, which is beyond the epoch.
+MAX_FILE_AGE = "1000000d"
+# Spark's writers name their files so; the id is that of one write.
+PART_FILE = r"/part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})[^/]*$"
 
 
 def _ingest_day(load_date: str | date | None) -> Column:
@@ -55,6 +62,26 @@ def _run(rows: DataFrame, target: str, checkpoint: str, partitions: tuple[str, .
     query.awaitTermination()
 
 
+def _in_known_folder(path: Column) -> Column:
+    return path.rlike(rf"/raw/(?:{'|'.join(S.RAW_COLUMNS)})/")
+
+
+def _any_case(stem: str) -> str:
+    """Glob of the CSV file with that stem, in any case of letters."""
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in stem) + ".[cC][sS][vV]"
+
+
+def _reader(spark: SparkSession, files_per_batch: int, archive: str | None):
+    reader = (
+        spark.readStream.option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", MAX_FILE_AGE)
+    )
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader
+
+
 def ingest(
     spark: SparkSession,
     dataset: str,
@@ -63,20 +90,27 @@ def ingest(
     checkpoint: str,
     load_date: str | date | None = None,
     files_per_batch: int = FILES_PER_BATCH,
+    archive: str | None = None,
 ) -> None:
     """Ingest the new CSV files of a dataset into ``root/raw/dataset/fecha=...``.
 
     Unparseable lines are kept, with their text in the corrupt-record column.
+    With ``archive``, a folder outside the landing, files of the dataset's own
+    folder move there once a later batch is done, so that listings stay short.
     """
-    rows = (
-        spark.readStream.schema(S.raw_schema(dataset))
-        .options(**CSV_READ)
-        .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("maxFileAge", MAX_FILE_AGE)
-        .csv(f"{landing}/raw/{dataset}")
-    )
-    tagged = _with_provenance(rows, load_date, F.lit(dataset))
+
+    def rows(path: str, name: str | None, archive: str | None) -> DataFrame:
+        reader = _reader(spark, files_per_batch, archive)
+        reader = reader.schema(S.raw_schema(dataset)).options(**CSV_READ)
+        found = (reader.option("pathGlobFilter", name) if name else reader).csv(path)
+        return _with_provenance(found, load_date, F.lit(dataset))
+
+    own = f"{landing}/raw/{dataset}"
+    # A stream needs its folder, and the dataset's own one may come later.
+    folder = spark._jvm.org.apache.hadoop.fs.Path(own)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+    strays = rows(landing, _any_case(dataset), None).where(~_in_known_folder(F.col("_origen")))
+    tagged = rows(own, None, archive).unionByName(strays)
     _run(tagged, f"{root}/raw/{dataset}", f"{checkpoint}/{dataset}", ("fecha",))
 
 
@@ -93,15 +127,15 @@ def ingest_other(
     Such files have no declared columns, so their lines are stored as text.
     """
     rows = (
-        spark.readStream.option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("maxFileAge", MAX_FILE_AGE)
-        .option("pathGlobFilter", "*.csv")
+        _reader(spark, files_per_batch, None)
+        .option("pathGlobFilter", "*.[cC][sS][vV]")
         .text(landing)
         .withColumnRenamed("value", "linea")
     )
-    tagged = _with_provenance(rows, load_date, table_name(F.col("_metadata.file_path")))
-    unknown = tagged.where(~F.col("tabla").isin(*S.RAW_COLUMNS))
+    path = F.col("_metadata.file_path")
+    stem = F.lower(F.regexp_extract(path, r"([^/]+)\.[^./]*$", 1))
+    known = _in_known_folder(path) | stem.isin(*S.RAW_COLUMNS)
+    unknown = _with_provenance(rows.where(~known), load_date, table_name(path))
     _run(unknown, f"{root}/raw/{LINES}", f"{checkpoint}/{LINES}", ("tabla", "fecha"))
 
 
@@ -111,9 +145,21 @@ def read_ingested(
     """Ingested rows, of one day or all.
 
     Reading from the dataset's root goes through the sink's log, which lists
-    only the files of finished batches.
+    only the files of finished batches. Where a folder was landed again, which
+    gives its part files new names, only the last landing counts.
     """
     rows = spark.read.parquet(f"{root}/raw/{dataset}")
-    if load_date is None:
-        return rows
-    return rows.where(F.col("fecha") == C.day_literal(load_date))
+    if load_date is not None:
+        rows = rows.where(F.col("fecha") == C.day_literal(load_date))
+    folder = F.regexp_extract("_origen", r"^(.*)/[^/]*$", 1)
+    write = F.regexp_extract("_origen", PART_FILE, 1)
+    marked = rows.withColumns({"_carpeta": folder, "_escritura": write})
+    last = (
+        marked.where("_escritura != ''")
+        .groupBy("_carpeta")
+        .agg(F.max_by("_escritura", F.struct("_ingerido_en", "_escritura")).alias("_ultima"))
+    )
+    kept = marked.join(last, "_carpeta", "left").where(
+        (F.col("_escritura") == "") | (F.col("_escritura") == F.col("_ultima"))
+    )
+    return kept.select(rows.columns)
