@@ -231,6 +231,7 @@ def brute_components(texts, size):
 def test_near_duplicates_match_brute_force(spark, monkeypatch, size):
     monkeypatch.setattr(near_duplicates, "CROWD", 2)
     monkeypatch.setattr(near_duplicates, "SLICE", 3)
+    monkeypatch.setattr(near_duplicates, "BLOCK", 4)
     texts = [*some_texts(5, 120), "ONE two", "one TWO", None, "", "", "single", "single"]
     found = near_duplicates.near_duplicates(documents(spark, texts), size)
     rows = found.orderBy("doc_id").collect()
@@ -373,7 +374,7 @@ def test_token_ids_match_the_tokenizer():
     texts = [x or "" for _, x in ODD] + ["a  b", " a", "a ", "a\x1c b", "a\n b", "don't 'S 12", *some_texts(11)]
     reference = Tokenizer.from_file(BPE)
     for text in texts:
-        ids = np.frombuffer(packing.tokens(BPE).ids(text), np.uint32).tolist()
+        ids = np.frombuffer(packing.token_ids(BPE, text), np.uint32).tolist()
         assert ids == reference.encode(text, add_special_tokens=False).ids
 
 

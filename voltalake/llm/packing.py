@@ -14,7 +14,6 @@ no rows.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from voltalake.llm.text import Batch, Cache, map_batches, texts
+from voltalake.llm.text import Batch, map_batches, texts
 from voltalake.session import stage
 
 CAPACITY = 1024
@@ -36,8 +35,6 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PATTERN = (
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 )
-# Where a blank touches other white space, a cut at blanks would not be exact.
-IRREGULAR = re.compile(r" \s|\s ")
 
 
 def _byte_of() -> dict[str, int]:
@@ -47,44 +44,31 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-class Tokens:
-    """Token ids of whole texts, from a byte-level BPE file in the JSON form.
+@lru_cache(maxsize=1)
+def encoding(path: str) -> tiktoken.Encoding:
+    """Encoder from a byte-level BPE file in the JSON form, one per worker.
 
     The vocabulary's order is its merge order, so ``tiktoken`` gives the ids that
-    ``tokenizers`` gives. Pre-tokens never reach across a single blank between
-    visible characters, so ids of the parts between blanks are looked up.
+    ``tokenizers`` gives, special tokens in the text included.
     """
-
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        byte_of = _byte_of()
-        ranks = {
-            bytes(byte_of[c] for c in token): rank
-            for token, rank in spec["model"]["vocab"].items()
-            if token not in special
-        }
-        self.encoding = tiktoken.Encoding(
-            "packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special
-        )
-        self.after_blank = Cache(lambda part: self.encoded(" " + part))
-
-    def encoded(self, text: str) -> bytes:
-        return self.encoding.encode_to_numpy(text, allowed_special="all").tobytes()
-
-    def ids(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        if IRREGULAR.search(text):
-            return self.encoded(text)
-        parts = text.split(" ")
-        return self.encoded(parts[0]) + b"".join(map(self.after_blank.__getitem__, parts[1:]))
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    special = {x["content"]: x["id"] for x in spec["added_tokens"]}
+    byte_of = _byte_of()
+    ranks = {
+        bytes(byte_of[c] for c in token): rank
+        for token, rank in spec["model"]["vocab"].items()
+        if token not in special
+    }
+    return tiktoken.Encoding(
+        "packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special
+    )
 
 
-@lru_cache(maxsize=1)
-def tokens(path: str) -> Tokens:
-    """One per worker."""
-    return Tokens(path)
+def token_ids(path: str, text: str) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    ids = encoding(path).encode_to_numpy(text, allowed_special="all")
+    return ids.astype("<u4", copy=False).tobytes()
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID):
@@ -93,9 +77,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     def cut(batch: Batch) -> Batch:
         rows: list[tuple[int, int, int, int, int]] = []
         end = end_id.to_bytes(4, "little")
-        coder = tokens(tokenizer)
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
-            ids = coder.ids(text.decode()) + end
+            ids = token_ids(tokenizer, text.decode()) + end
             n = len(ids) // 4
             start = 0
             length = (n - 1) % capacity + 1
