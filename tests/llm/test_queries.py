@@ -14,6 +14,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="driver tables
 COLUMNS = {
     "op1_token_counts": ["doc_id", "n_words", "n_tokens", "score"],
     "op2_importance_resampling": ["doc_id", "log_weight", "key", "kept"],
+    "op3_prefix_free_parsing": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op4_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op5_page_differencing": ["page_id", "url", "text", "n_chars"],
     "op6_language_id": ["doc_id", "held_out", "lang_pred", "score"],

@@ -36,11 +36,22 @@ from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltalake.llm.text import Batch, K1, K2, map_batches, mixed, portions, powers, texts
+from voltalake.llm.text import (
+    K1,
+    K2,
+    Batch,
+    compressed,
+    map_batches,
+    mixed,
+    packed,
+    portions,
+    powers,
+    texts,
+    unpacked,
+)
 from voltalake.session import stage
 
 MATCH = 50
@@ -213,22 +224,6 @@ def _settled(batches: Iterator[Batch]) -> Iterator[Batch]:
         yield pa.record_batch([pa.array(doc[out]), pa.array(key[out])], ["doc_id", "key"])
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """Texts compressed, as they travel by id."""
-
-    def pack(batch: Batch) -> Batch:
-        coder = zstandard.ZstdCompressor(level=1)
-        rows = pa.array([coder.compress(x) for x in texts(batch)], pa.binary())
-        return pa.record_batch([batch.column("doc_id"), rows], ["doc_id", "packed"])
-
-    return map_batches(docs.select("doc_id", "text"), "doc_id long, packed binary", pack)
-
-
-def _unpacked(batch: Batch) -> list[bytes]:
-    coder = zstandard.ZstdDecompressor()
-    return [coder.decompress(x) for x in batch.column("packed").to_pylist()]
-
-
 def _own(text: np.ndarray, key: np.ndarray) -> np.ndarray:
     """One number for a text of the portion and a key."""
     return mixed(key.view(np.uint64) + text.astype(np.uint64) * K2)
@@ -241,7 +236,7 @@ def _candidates(batch: Batch) -> Batch:
     lists = batch.column("keys")
     doc_out, key_out, first_out, last_out, content = [], [], [], [], []
     at = 0
-    for of in portions(_unpacked(batch)):
+    for of in portions(unpacked(batch)):
         found = parse(of)
         listed = lists.slice(at, len(of))
         owner = np.repeat(np.arange(len(of)), listed.value_lengths().to_numpy(False))
@@ -325,7 +320,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     # A document has at most one key for each of its bytes.
     listed = settled.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
     found = stage(
-        map_batches(_packed(docs).join(listed, "doc_id"), FOUND, _candidates), "candidates"
+        map_batches(packed(docs).join(listed, "doc_id"), FOUND, _candidates), "candidates"
     )
     whole = found.filter("content is null").select("doc_id", "first", "last")
     parts = found.filter("content is not null")
@@ -364,7 +359,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     )
 
     def cut(batch: Batch) -> Batch:
-        of = _unpacked(batch)
+        of = unpacked(batch)
         rows = [
             _cut(x, runs or [])
             for x, runs in zip(of, batch.column("runs").to_pylist(), strict=True)
@@ -381,7 +376,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             _names(RESULT),
         )
 
-    joined = _packed(docs).join(listed, "doc_id", "left").select("doc_id", "packed", "runs")
+    joined = packed(docs).join(listed, "doc_id", "left").select("doc_id", "packed", "runs")
     return map_batches(joined, RESULT, cut)
 
 
@@ -398,24 +393,23 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     boxed = docs.select("doc_id", "text", F.col("text").isNull().alias("blank"), row)
 
     def pack(batch: Batch) -> Batch:
-        coder = zstandard.ZstdCompressor(level=1)
-        packed = pa.array([coder.compress(x) for x in texts(batch)], pa.binary())
-        columns = [batch.column("doc_id"), packed, batch.column("blank"), batch.column("row")]
+        small = compressed(texts(batch))
+        columns = [batch.column("doc_id"), small, batch.column("blank"), batch.column("row")]
         return pa.record_batch(columns, ["doc_id", "packed", "blank", "row"])
 
     kind = boxed.schema["row"].dataType.simpleString()
-    packed = map_batches(boxed, f"doc_id long, packed binary, blank boolean, row {kind}", pack)
+    rows = map_batches(boxed, f"doc_id long, packed binary, blank boolean, row {kind}", pack)
 
     def cut(batch: Batch) -> Batch:
         runs = batch.column("runs").to_pylist()
         kept = [
             _cut(x, y or [])[2].decode(errors="ignore")
-            for x, y in zip(_unpacked(batch), runs, strict=True)
+            for x, y in zip(unpacked(batch), runs, strict=True)
         ]
         kept = [None if x else y for x, y in zip(batch.column("blank").to_pylist(), kept, strict=True)]
         return pa.record_batch([pa.array(kept, pa.string()), batch.column("row")], ["text", "row"])
 
-    joined = packed.join(listed, "doc_id", "left").select("packed", "blank", "row", "runs")
+    joined = rows.join(listed, "doc_id", "left").select("packed", "blank", "row", "runs")
     done = map_batches(joined, f"text string, row {kind}", cut)
     columns = {
         "text": F.col("text"),

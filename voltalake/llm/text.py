@@ -12,6 +12,7 @@ from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -184,3 +185,24 @@ def held_out(doc_id: Column) -> Column:
 def crc(value: object) -> int:
     """CRC-32 of a value's text, as Spark's ``crc32`` gives it."""
     return zlib.crc32(str(value).encode())
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """(doc_id, packed): texts compressed, as they travel by id."""
+
+    def pack(batch: Batch) -> Batch:
+        return pa.record_batch(
+            [batch.column("doc_id"), compressed(texts(batch))], ["doc_id", "packed"]
+        )
+
+    return map_batches(docs.select("doc_id", "text"), "doc_id long, packed binary", pack)
+
+
+def compressed(of: list[bytes]) -> pa.Array:
+    coder = zstandard.ZstdCompressor(level=1)
+    return pa.array([coder.compress(x) for x in of], pa.binary())
+
+
+def unpacked(batch: Batch, column: str = "packed") -> list[bytes]:
+    coder = zstandard.ZstdDecompressor()
+    return [coder.decompress(x) for x in batch.column(column).to_pylist()]
