@@ -168,6 +168,51 @@ def export_result(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(result.schema).options(**files.CSV_READ).csv(folder)
 
 
+def export_json(spark: SparkSession, sf: str) -> DataFrame:
+    folder = fresh_folder(spark, "export")
+    result = pending(spark, sf)
+    files.export(result, folder, "json")
+    return spark.read.schema(result.schema).json(folder)
+
+
+def cataloged(spark: SparkSession, sf: str) -> str:
+    """The catalog database of a fresh daily load."""
+    root, _ = loaded(spark, sf)
+    database = Path(root).name.replace("-", "_")
+    catalog.refresh(spark, root, database, "processed")
+    return f"{database}_processed"
+
+
+def catalog_listing(spark: SparkSession, sf: str) -> DataFrame:
+    return catalog.listing(spark, [cataloged(spark, sf)]).drop("base")
+
+
+def analyst_views(spark: SparkSession, sf: str) -> DataFrame:
+    """The analysts' view of the stored customers, without the partition columns."""
+    database = cataloged(spark, sf)
+    catalog.create_analyst_views(spark, database, f"{database}_analistas")
+    return spark.table(f"{database}_analistas.clientes_analista").drop(*S.DAY_PARTITION)
+
+
+def stored_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """Chosen queries over the stored tables of the catalog."""
+    tables = analytics.tables_of(spark, cataloged(spark, sf))
+    chosen = analytics.run_queries(tables, LOAD_DATE, "q1,q3")
+    return chosen["q3"]
+
+
+def ingest_otros(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of a file of no declared table, beside files of a declared one."""
+    landing, root = fresh_folder(spark, "landing"), fresh_folder(spark, "lake")
+    checkpoint = fresh_folder(spark, "ingest")
+    files.land({"proveedores": star.raw_suppliers(spark, sf)}, spark, landing, LOAD_DATE)
+    nations = spark.read.parquet(f"{sf}/nation.parquet").select("n_name")
+    nations.write.csv(f"{landing}/varios/Paises.csv")
+    for _ in range(2):
+        ingest.ingest_other(spark, landing, root, checkpoint, LOAD_DATE)
+    return ingest.read_ingested(spark, root, ingest.LINES).select("tabla", "linea")
+
+
 # --- columns of transactions and customers ------------------------------------
 def mask_id(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.typed(star.raw_customers(spark, sf), "clientes").select(
@@ -310,6 +355,11 @@ def own_queries() -> dict[str, Query]:
         "run_metrics": run_metrics,
         "warehouse_load": warehouse_load,
         "export_result": export_result,
+        "export_json": export_json,
+        "catalog_listing": catalog_listing,
+        "analyst_views": analyst_views,
+        "stored_queries": stored_queries,
+        "ingest_otros": ingest_otros,
         "norm_proveedores": suppliers,
         "norm_clientes": customers,
         "mask_id": mask_id,

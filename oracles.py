@@ -375,6 +375,8 @@ FROM ({_counts()}) JOIN (VALUES ('proveedores', 11), ('clientes', 13), ('transac
         )
     ),
     "export_result": _with(*_D) + _PENDING,
+    "export_json": _with(*_D) + _PENDING,
+    "ingest_otros": "SELECT 'paises' AS tabla, n_name AS linea FROM nation",
     "norm_proveedores": _with(*_P) + "SELECT * FROM p",
     "norm_clientes": _with(*_C) + "SELECT * FROM c",
     "mask_id": _with(_RAW_CUSTOMERS)
@@ -491,3 +493,18 @@ UNION ALL SELECT 'transacciones', id_transaccion, concat_ws(',',
 FROM raw_t WHERE motivo <> ''""",
     "clientes_analista": _with(*_C) + "SELECT * EXCLUDE (identificacion) FROM c",
 }
+
+# The same rows by way of stored tables.
+ORACLES["stored_queries"] = ORACLES["q3"]
+ORACLES["analyst_views"] = ORACLES["clientes_analista"]
+# Columns of the stored tables: those of their rows and three of the load date.
+ORACLES["catalog_listing"] = " UNION ALL ".join(
+    f"SELECT '{table}' AS tabla, CAST({columns} AS INTEGER) AS columnas"
+    for table, columns in (
+        ("proveedores", 11),
+        ("clientes", 13),
+        ("transacciones", 21),
+        ("metricas_energia", 13),
+        ("metricas_segmento", 11),
+    )
+)
