@@ -10,16 +10,17 @@ that can be reached over links.
    order are a region of that tree.
 3. First round: each class is compared with the first of its region and with
    its neighbours in the region's sorted order, which have the longest common
-   prefixes. Signatures rank these pairs, and each class's best pair is
-   confirmed on the full sets. Components collapse.
-4. Second round: what a region still holds of different components is paired,
-   all but its largest component with everything else. The depth adapts: where
-   that were more than ``CROWD`` pairs for each class, a region is split by
-   longer prefixes. Pairs are ranked by signature and confirmed on full sets.
+   prefixes. Signatures rank these pairs, and each class's ``BEST`` likeliest
+   pairs are confirmed on the full sets. Components collapse.
+4. Second round: where a region still holds several components, all classes
+   outside its largest one are strangers, and their marks are compared with
+   every other's in the region, block by block. The depth adapts: a region with
+   more than ``CROWD`` strangers is split by longer prefixes. Likely pairs are
+   confirmed on full sets.
 
 Pairs whose signatures differ too much (an estimate under ``LIKELY``, five
-standard deviations below the threshold) or whose sizes rule a link out are not
-confirmed. A pair at the threshold shares a region with probability 0.999997.
+standard deviations below the threshold), whose least hashes do (``DEVIATIONS``
+below it) or whose sizes rule a link out are not confirmed. A pair at the threshold shares a region with probability 0.999997.
 No pair is dropped for a region's size, and equal texts are never paired.
 
 Null, empty and blank texts have an empty set and are linked with nothing.
@@ -30,6 +31,8 @@ classes and signatures; links are confirmed on the words.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -38,7 +41,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from voltalake.llm.components import components
-from voltalake.llm.text import LOWER, Batch, map_batches, mixed, portions, read, texts
+from voltalake.llm.text import (
+    LOWER,
+    Batch,
+    map_batches,
+    mixed,
+    packed,
+    portions,
+    read,
+    texts,
+    unpacked,
+)
 from voltalake.session import stage
 
 SHINGLE = 5
@@ -46,10 +59,17 @@ SIMILAR = 80  # hundredths
 TREES, DEPTH, TAIL = 24, 4, 8
 VALUES = TREES * DEPTH
 NEIGHBOURS = 2
-CROWD = 64
+BEST = 4
+CROWD = 4096
+BLOCK = 256
+DEVIATIONS = 4.5
 LIKELY = 0.6
 SLICE = 4096
-PROFILE = "doc_id long, n_shingles long, set_key binary, signature binary"
+SAMPLE = 192  # least hashes of a set that are kept: smaller sets are kept whole
+MARK = ("signature", "sketch", "heads", "sample")
+PROFILE = "doc_id long, n_shingles long, set_key binary" + "".join(
+    f", {x} binary" for x in MARK
+)
 
 _RANDOM = np.random.default_rng(20240501)
 XORS = _RANDOM.integers(0, 1 << 32, VALUES, dtype=np.uint32)
@@ -88,11 +108,26 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _marks(sets: list[np.ndarray]) -> Iterator[tuple[bytes, ...]]:
+    """For each set: its signature, one byte of each value, a hash of what each tree's
+    order begins with, and the set's least hashes."""
+    rows = signatures(sets)
+    heads = np.zeros((len(sets), TREES), np.uint64)
+    for k in range(DEPTH):
+        heads = mixed(heads + rows[:, k::DEPTH])
+    for x, row, head in zip(sets, rows, heads, strict=True):
+        sample = (x[:SAMPLE] >> np.uint64(32)).astype("<u4")
+        signed = row.astype("<u4").tobytes()
+        yield signed, signed[::4], head.astype("<u4").tobytes(), sample.tobytes()
+
+
 def profiles(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """Set size, a key of the whole set, and the signature of each document."""
+    """Set size, a key of the whole set, and its marks, of each document."""
 
     def profile(batch: Batch) -> Batch:
-        n, keys, signed = [], [], []
+        n: list[int] = []
+        keys: list[bytes | None] = []
+        marks: list[tuple[bytes | None, ...]] = []
         for of in portions(texts(batch)):
             part = read(of, lower=True)
             hashes, cuts = part.hashes(), part.per_text()
@@ -103,16 +138,13 @@ def profiles(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             n += map(len, sets)
             keys += [xxhash.xxh128_digest(x.tobytes()) if len(x) else None for x in sets]
             full = [x for x in sets if len(x)]
-            rows = iter(signatures(full)) if full else iter(())
-            signed += [next(rows).astype("<u4").tobytes() if len(x) else None for x in sets]
+            found = iter(_marks(full) if full else ())
+            marks += [next(found) if len(x) else (None,) * len(MARK) for x in sets]
+        columns = [pa.array(x, pa.binary()) for x in zip(*marks, strict=True)]
+        ids, sizes = batch.column("doc_id"), pa.array(n, pa.int64())
         return pa.record_batch(
-            [
-                batch.column("doc_id"),
-                pa.array(n, pa.int64()),
-                pa.array(keys, pa.binary()),
-                pa.array(signed, pa.binary()),
-            ],
-            ["doc_id", "n_shingles", "set_key", "signature"],
+            [ids, sizes, pa.array(keys, pa.binary()), *columns],
+            ["doc_id", "n_shingles", "set_key", *MARK],
         )
 
     return map_batches(docs.select("doc_id", "text"), PROFILE, profile)
@@ -127,6 +159,7 @@ def _tree_rows(classes: DataFrame) -> DataFrame:
     ).select(
         "id",
         "n",
+        "tree",
         F.xxhash64("tree", F.substring(circle, at, F.lit(4 * DEPTH))).alias("region"),
         F.substring(circle, at + 4 * DEPTH, F.lit(4 * TAIL)).alias("tail"),
     )
@@ -142,6 +175,7 @@ def _members(classes: DataFrame) -> DataFrame:
     )
     return rows.join(regions, "region").select(
         "region",
+        "tree",
         "tail",
         "id",
         "n",
@@ -161,12 +195,15 @@ def _ordered(a: Column, b: Column) -> list[Column]:
 
 
 def _near_pairs(members: DataFrame) -> DataFrame:
-    """Pairs with the region's first class, and with the neighbours in sorted order.
+    """(a, b): each class with its regions' first classes, and with the neighbours
+    before it in sorted order; at most ``NEIGHBOURS + 1`` for each tree.
 
     A crowded region is dealt out in slices, in each of which it is sorted.
     """
-    firsts = members.filter((F.col("id") != F.col("first_id")) & _possible(F.col("n"), F.col("first_n")))
-    pairs = firsts.select(*_ordered(F.col("id"), F.col("first_id")))
+    firsts = members.filter(
+        (F.col("id") != F.col("first_id")) & _possible(F.col("n"), F.col("first_n"))
+    )
+    pairs = firsts.select(F.col("id").alias("a"), F.col("first_id").alias("b"))
     cut = F.when(
         F.col("size") > SLICE,
         F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / SLICE)),
@@ -178,17 +215,12 @@ def _near_pairs(members: DataFrame) -> DataFrame:
     near = others.select(
         "id", "n", F.explode(F.array(*(f"near{k}" for k in range(1, NEIGHBOURS + 1)))).alias("o")
     ).filter(F.col("o").isNotNull() & _possible(F.col("n"), F.col("o.n")))
-    return pairs.unionByName(near.select(*_ordered(F.col("id"), F.col("o.id")))).distinct()
+    near = near.select(F.col("id").alias("a"), F.col("o.id").alias("b"))
+    return pairs.unionByName(near).distinct()
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs that are likely enough, with the estimate from one byte of each value."""
-
-    def sketch(batch: Batch) -> Batch:
-        rows = batch.column("signature").to_pylist()
-        return pa.record_batch(
-            [batch.column("id"), pa.array([x[::4] for x in rows], pa.binary())], ["id", "sketch"]
-        )
+    """Pairs that are likely enough, with the estimate from the signatures' sketches."""
 
     def compare(batch: Batch) -> Batch:
         x, y = (
@@ -200,9 +232,8 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         rows = [batch.column("a"), batch.column("b"), pa.array(estimate)]
         return pa.record_batch(rows, ["a", "b", "estimate"]).filter(pa.array(estimate >= LIKELY))
 
-    sketches = map_batches(classes.select("id", "signature"), "id long, sketch binary", sketch)
-    one = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("x"))
-    two = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("y"))
+    one = classes.select(F.col("id").alias("a"), F.col("sketch").alias("x"))
+    two = classes.select(F.col("id").alias("b"), F.col("sketch").alias("y"))
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
     return map_batches(both, "a long, b long, estimate double", compare)
 
@@ -214,16 +245,17 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE) -> DataFra
     one with very many partners can be split over tasks.
     """
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    needed = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    # The same plan at every size: all texts move once by id, compressed.
+    needed = packed(docs).join(ids.hint("merge"), "doc_id", "left_semi")
     needed = needed.dropDuplicates(["doc_id"])
-    one = needed.select(F.col("doc_id").alias("a"), F.col("text").alias("x"))
-    two = needed.select(F.col("doc_id").alias("b"), F.col("text").alias("y"))
+    one = needed.select(F.col("doc_id").alias("a"), F.col("packed").alias("x"))
+    two = needed.select(F.col("doc_id").alias("b"), F.col("packed").alias("y"))
 
     def check(batch: Batch) -> Batch:
         sets: dict[int, set[tuple[bytes, ...]]] = {}
         good = []
         ids = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)
-        for (a, b), x, y in zip(ids, texts(batch, "x"), texts(batch, "y"), strict=True):
+        for (a, b), x, y in zip(ids, unpacked(batch, "x"), unpacked(batch, "y"), strict=True):
             if b not in sets:  # rows come sorted by b
                 sets = {b: shingle_set(y.translate(LOWER).split(), size)}
             of = shingle_set(x.translate(LOWER).split(), size)
@@ -237,55 +269,147 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE) -> DataFra
 
 
 def _best_pairs(pairs: DataFrame) -> DataFrame:
-    """The likeliest pair of each class."""
-    ends = F.explode(F.array("a", "b")).alias("end")
-    best = F.max(F.struct("estimate", (-F.col("a")).alias("a"), (-F.col("b")).alias("b")))
-    found = pairs.select("a", "b", "estimate", ends).groupBy("end").agg(best.alias("p"))
-    return found.select((-F.col("p.a")).alias("a"), (-F.col("p.b")).alias("b")).distinct()
+    """The likeliest pairs of each class, the smaller id first."""
+    likely = F.reverse(F.array_sort(F.collect_list(F.struct("estimate", "b"))))
+    best = pairs.groupBy("a").agg(F.slice(likely, 1, BEST).alias("found"))
+    best = best.select("a", F.explode("found.b").alias("b"))
+    return best.select(*_ordered(F.col("a"), F.col("b"))).distinct()
+
 
+def _open_regions(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, bool]:
+    """Rows of regions that hold several components, and whether all are at full depth.
 
-def _open_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of different components that share a region of adapted depth."""
-    rows = members.select("region", "tail", "id", "n").join(
+    A class outside its region's largest component is a stranger there. Regions
+    with more than ``CROWD`` strangers are split by longer prefixes.
+    """
+    rows = members.select("region", "tree", "tail", "id", "n").join(
         roots.select(F.col("a").alias("id"), F.col("b").alias("root")), "id", "left"
     )
     rows = rows.withColumn("root", F.coalesce("root", "id"))
-    rows = stage(rows, "regions")
-    found = None
-    depths = [0, TAIL // 4, TAIL // 2, TAIL]
-    for depth in depths:
+    found, plain = None, True
+    for depth in range(TAIL + 1):
         if depth:
-            longer = F.substring("tail", 4 * (last_depth := depths[depths.index(depth) - 1]) + 1,
-                                 4 * (depth - last_depth))
-            rows = rows.withColumn("region", F.xxhash64("region", longer))
-        parts = rows.groupBy("region", "root").agg(F.count(F.lit(1)).alias("n_root"))
+            value = F.substring("tail", 4 * depth - 3, 4)
+            rows = rows.withColumn("region", F.xxhash64("region", value))
         regions = (
-            parts.groupBy("region")
+            rows.groupBy("region", "root")
+            .agg(F.count(F.lit(1)).alias("n_root"))
+            .groupBy("region")
             .agg(
                 F.sum("n_root").alias("all"),
-                F.max(F.struct("n_root", "root")).alias("largest"),
+                F.max(F.struct("n_root", "root")).alias("most"),
                 F.count(F.lit(1)).alias("roots"),
             )
             .filter("roots > 1")
             .select(
                 "region",
-                F.col("largest.root").alias("largest"),
-                ((F.col("all") - F.col("largest.n_root")) <= CROWD).alias("small"),
+                "all",
+                F.col("most.root").alias("largest"),
+                (F.col("all") - F.col("most.n_root")).alias("strangers"),
             )
         )
         # A region of one component is done and goes no further.
         rows = stage(rows.join(regions, "region"), "open")
-        now = rows if depth == depths[-1] else rows.filter("small")
-        strangers = now.filter("root <> largest").select(
-            "region", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("root").alias("root2")
+        crowded = F.col("strangers") > CROWD if depth < TAIL else F.lit(False)
+        now = rows.filter(~crowded)
+        found = now if found is None else found.unionByName(now)
+        rows = rows.filter(crowded).drop("all", "largest", "strangers")
+        if rows.isEmpty():
+            return found, plain
+        plain = False
+    return found, plain
+
+
+def _open_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
+    """Likely pairs of different components that share a region.
+
+    Strangers meet all classes of their region, in blocks of some ``BLOCK`` each,
+    whose marks are compared at once. Only pairs that are likely by their
+    sketches and by their sets' least hashes become rows, each in the first tree
+    that has both in one region.
+    """
+    rows, plain = _open_regions(members, roots)
+    marked = rows.join(classes.select("id", "sketch", "heads", "sample"), "id")
+
+    def blocks(of: DataFrame, size: Column, name: str) -> DataFrame:
+        part = F.pmod(F.xxhash64("id"), F.ceil(size / BLOCK))
+        entry = F.struct("id", "n", "root", "sketch", "heads", "sample")
+        return (
+            of.groupBy("region", "tree", "largest", part.alias("part"))
+            .agg(F.collect_list(entry).alias(name))
+            .drop("part")
+        )
+
+    strangers = blocks(marked.filter("root <> largest"), F.col("strangers"), "x")
+    everyone = blocks(marked, F.col("all"), "y").select("region", "y")
+    both = strangers.join(everyone, "region").select("tree", "largest", "x", "y")
+
+    def compare(batch: Batch) -> Batch:
+        trees = batch.column("tree").to_pylist()
+        largest = batch.column("largest").to_pylist()
+        x, y = _Block(batch.column("x")), _Block(batch.column("y"))
+        found: list[np.ndarray] = [np.zeros((2, 0), np.int64)]
+        for row, (tree, most) in enumerate(zip(trees, largest, strict=True)):
+            ys = y.of(row)
+            for k in range(x.of(row).start, x.of(row).stop):
+                same = (y.sketch[ys] == x.sketch[k]).mean(axis=1)
+                good = (same - 1 / 256) / (1 - 1 / 256) >= LIKELY
+                good &= y.root[ys] != x.root[k]
+                n, m = x.n[k], y.n[ys]
+                good &= 100 * np.minimum(n, m) >= SIMILAR * np.maximum(n, m)
+                # Two strangers meet twice.
+                good &= (y.root[ys] == most) | (x.id[k] < y.id[ys])
+                if plain and tree:
+                    good &= ~(y.heads[ys, :tree] == x.heads[k, :tree]).any(axis=1)
+                others = np.flatnonzero(good) + ys.start
+                others = others[_similar(x.sample[k], [y.sample[j] for j in others])]
+                found.append(np.stack([np.full(len(others), x.id[k]), y.id[others]]))
+        pairs = np.sort(np.concatenate(found, axis=1), axis=0)
+        return pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+    return map_batches(both, "a long, b long", compare).distinct()
+
+
+def _similar(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Which others may be similar to one, by their least hashes.
+
+    Up to the smaller of two ends both samples are whole, so what they share
+    there estimates the similarity, with the deviation of a sample of that size;
+    sets of less than ``SAMPLE`` shingles are compared whole.
+    """
+    if not others:
+        return np.zeros(0, bool)
+    full = np.uint32(0xFFFFFFFF)
+    end = np.array([x[-1] if len(x) == SAMPLE else full for x in others])
+    end = np.minimum(end, one[-1] if len(one) == SAMPLE else full)
+    flat = np.concatenate(others)
+    owner = np.repeat(np.arange(len(others)), [len(x) for x in others])
+    inside = flat <= end[owner]
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    both = np.bincount(owner, inside & (one[at] == flat), len(others))
+    union = np.searchsorted(one, end, "right") + np.bincount(owner, inside, len(others)) - both
+    slack = np.where(end == full, 0.01, DEVIATIONS * 0.4 / np.sqrt(np.maximum(union, 1)))
+    return both >= (SIMILAR / 100 - slack) * union
+
+
+class _Block:
+    """Lists of classes as arrays."""
+
+    def __init__(self, lists: pa.ListArray):
+        self.ends = np.cumsum(lists.value_lengths().to_numpy(False))
+        values = lists.flatten()
+        self.id, self.n, self.root = (
+            values.field(k).to_numpy(False) for k in ("id", "n", "root")
         )
-        pairs = now.join(strangers, "region").filter(
-            (F.col("root") != F.col("root2")) & _possible(F.col("n"), F.col("n2"))
+        sketch, heads, sample = (
+            values.field(k).to_pylist() for k in ("sketch", "heads", "sample")
         )
-        pairs = pairs.select(*_ordered(F.col("id"), F.col("id2")))
-        found = pairs if found is None else found.unionByName(pairs)
-        rows = rows.filter("not small").drop("largest", "small")
-    return found.distinct()
+        self.sketch = np.frombuffer(b"".join(sketch), np.uint8).reshape(-1, VALUES)
+        self.heads = np.frombuffer(b"".join(heads), "<u4").reshape(-1, TREES)
+        self.sample = [np.frombuffer(x, "<u4") for x in sample]
+
+    def of(self, row: int) -> slice:
+        return slice(int(self.ends[row - 1]) if row else 0, int(self.ends[row]))
 
 
 def link(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
@@ -297,7 +421,7 @@ def link(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
         .agg(
             F.min("doc_id").alias("id"),
             F.first("n_shingles").alias("n"),
-            F.first("signature").alias("signature"),
+            *(F.first(x).alias(x) for x in MARK),
         ),
         "classes",
     )
@@ -306,8 +430,8 @@ def link(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     judged = stage(first, "best")
     links = stage(confirmed(judged, docs, size), "confirmed")
     roots = components(links)
-    more = _open_pairs(members, roots).join(judged, ["a", "b"], "left_anti")
-    more = stage(_estimated(more, classes), "open-pairs")
+    more = _open_pairs(members, roots, classes).join(judged, ["a", "b"], "left_anti")
+    more = stage(more, "open-pairs")
     links = links.unionByName(confirmed(more, docs, size))
     return found.join(
         classes.select("set_key", F.col("id").alias("class_id")), "set_key", "left"
