@@ -55,7 +55,9 @@ def words(text: bytes) -> Words:
 
 def shingles(of: Words, size: int = SHINGLE) -> Iterator[Gram]:
     """Runs of ``size`` words; a single word is a run of its own."""
-    return zip(*(of[k:] for k in range(size)), strict=False) if len(of) >= size else iter([tuple(of)])
+    if len(of) < size:
+        return iter([tuple(of)])
+    return zip(*(of[k:] for k in range(size)), strict=False)
 
 
 def window_table(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:

@@ -47,7 +47,8 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = toxicity.learn(docs, table(spark, sf, "labels"))
     scored = toxicity.score(docs, model)
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    held = held_out(F.col("doc_id")).alias("held_out")
+    return scored.select("doc_id", held, "score", "predicted")
 
 
 def op5_page_differencing(spark: SparkSession, sf: str) -> DataFrame:

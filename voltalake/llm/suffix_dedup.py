@@ -406,7 +406,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             _cut(x, y or [])[2].decode(errors="ignore")
             for x, y in zip(unpacked(batch), runs, strict=True)
         ]
-        kept = [None if x else y for x, y in zip(batch.column("blank").to_pylist(), kept, strict=True)]
+        blank = batch.column("blank").to_pylist()
+        kept = [None if x else y for x, y in zip(blank, kept, strict=True)]
         return pa.record_batch([pa.array(kept, pa.string()), batch.column("row")], ["text", "row"])
 
     joined = rows.join(listed, "doc_id", "left").select("packed", "blank", "row", "runs")

@@ -1,8 +1,8 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 A linear model over words (letters and digits, A-Z in lower case) and their
-character n-grams, repeated ones damped, is trained with numpy from confirmed toxic texts and unlabelled
-ones. The risk of the negative class is what unlabelled texts show, less the
+character n-grams, repeated ones damped, is trained with numpy from confirmed
+toxic texts and unlabelled ones. The risk of the negative class is what unlabelled texts show, less the
 class prior's share of what toxic texts show, and where that estimate falls
 below zero the step goes the other way, so that it is not driven below zero.
 
