@@ -241,6 +241,34 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, size):
     assert [x["kept"] for x in rows] == [k == x for k, x in enumerate(roots)]
 
 
+def test_crowds_are_compared_whole(spark):
+    """A pair in a region of more than ``CROWD`` strangers, which no longer prefix joins."""
+    rng = np.random.default_rng(5)
+    n, depth, values = 4200, near_duplicates.DEPTH, near_duplicates.VALUES
+    signed = rng.integers(0, 1 << 32, (n, values), dtype=np.uint32)
+    signed[1] = signed[0]
+    signed[1, ::depth] += 1  # in each tree the pair parts at the first value
+    signed[:, :depth] = 7  # but in this one all are in one region
+    heads = np.zeros((n, near_duplicates.TREES), np.uint64)
+    for k in range(depth):
+        heads = near_duplicates.mixed(heads + signed[:, k::depth])
+    samples = rng.integers(0, 1 << 32, (n, 50), dtype=np.uint32)
+    samples[1] = samples[0]
+    samples.sort(axis=1)
+    rows = [
+        (k, 50, row.tobytes(), row.tobytes()[::4], head.tobytes(), sample.tobytes())
+        for k, (row, head, sample) in enumerate(
+            zip(signed, heads.astype("<u4"), samples, strict=True)
+        )
+    ]
+    schema = "id long, n long, signature binary, sketch binary, heads binary, sample binary"
+    classes = spark.createDataFrame(rows, schema)
+    roots = spark.createDataFrame([], "a long, b long")
+    members = near_duplicates._members(classes)
+    found = near_duplicates._open_pairs(members, roots, classes)
+    assert [tuple(x) for x in found.collect()] == [(0, 1)]
+
+
 def test_components_of_long_paths(spark):
     edges = [(k, k + 1) for k in range(100, 140)] + [(5, 7), (7, 5), (9, 9)]
     found = components(spark.createDataFrame(edges, "a long, b long")).collect()

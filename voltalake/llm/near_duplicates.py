@@ -14,14 +14,15 @@ that can be reached over links.
    pairs are confirmed on the full sets. Components collapse.
 4. Second round: where a region still holds several components, all classes
    outside its largest one are strangers, and their marks are compared with
-   every other's in the region, block by block. The depth adapts: a region with
-   more than ``CROWD`` strangers is split by longer prefixes. Likely pairs are
-   confirmed on full sets.
+   every other's in the region, block by block. Of a region with more than
+   ``CROWD`` strangers the blocks are dealt out over tasks, so that all its pairs
+   are compared as in any other. Likely pairs are confirmed on full sets.
 
 Pairs whose signatures differ too much (an estimate under ``LIKELY``, five
 standard deviations below the threshold), whose least hashes do (``DEVIATIONS``
-below it) or whose sizes rule a link out are not confirmed. A pair at the threshold shares a region with probability 0.999997.
-No pair is dropped for a region's size, and equal texts are never paired.
+below it) or whose sizes rule a link out are not confirmed. A pair at the threshold
+shares a region with probability 1 - (1 - 0.8^4)^24 = 0.999997, whatever the regions'
+sizes: none is narrowed for its size. Equal texts are never paired.
 
 Null, empty and blank texts have an empty set and are linked with nothing.
 Null ids are linked with nothing and stay. Repeated rows get equal results.
@@ -276,48 +277,33 @@ def _best_pairs(pairs: DataFrame) -> DataFrame:
     return best.select(*_ordered(F.col("a"), F.col("b"))).distinct()
 
 
-def _open_regions(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, bool]:
-    """Rows of regions that hold several components, and whether all are at full depth.
+def _open_regions(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of regions that hold several components.
 
-    A class outside its region's largest component is a stranger there. Regions
-    with more than ``CROWD`` strangers are split by longer prefixes.
+    A class outside its region's largest component is a stranger there.
     """
-    rows = members.select("region", "tree", "tail", "id", "n").join(
+    rows = members.select("region", "tree", "id", "n").join(
         roots.select(F.col("a").alias("id"), F.col("b").alias("root")), "id", "left"
     )
     rows = rows.withColumn("root", F.coalesce("root", "id"))
-    found, plain = None, True
-    for depth in range(TAIL + 1):
-        if depth:
-            value = F.substring("tail", 4 * depth - 3, 4)
-            rows = rows.withColumn("region", F.xxhash64("region", value))
-        regions = (
-            rows.groupBy("region", "root")
-            .agg(F.count(F.lit(1)).alias("n_root"))
-            .groupBy("region")
-            .agg(
-                F.sum("n_root").alias("all"),
-                F.max(F.struct("n_root", "root")).alias("most"),
-                F.count(F.lit(1)).alias("roots"),
-            )
-            .filter("roots > 1")
-            .select(
-                "region",
-                "all",
-                F.col("most.root").alias("largest"),
-                (F.col("all") - F.col("most.n_root")).alias("strangers"),
-            )
+    regions = (
+        rows.groupBy("region", "root")
+        .agg(F.count(F.lit(1)).alias("n_root"))
+        .groupBy("region")
+        .agg(
+            F.sum("n_root").alias("all"),
+            F.max(F.struct("n_root", "root")).alias("most"),
+            F.count(F.lit(1)).alias("roots"),
         )
-        # A region of one component is done and goes no further.
-        rows = stage(rows.join(regions, "region"), "open")
-        crowded = F.col("strangers") > CROWD if depth < TAIL else F.lit(False)
-        now = rows.filter(~crowded)
-        found = now if found is None else found.unionByName(now)
-        rows = rows.filter(crowded).drop("all", "largest", "strangers")
-        if rows.isEmpty():
-            return found, plain
-        plain = False
-    return found, plain
+        .filter("roots > 1")
+        .select(
+            "region",
+            "all",
+            F.col("most.root").alias("largest"),
+            (F.col("all") - F.col("most.n_root")).alias("strangers"),
+        )
+    )
+    return stage(rows.join(regions, "region"), "open")
 
 
 def _open_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
@@ -326,23 +312,27 @@ def _open_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame) -> Dat
     Strangers meet all classes of their region, in blocks of some ``BLOCK`` each,
     whose marks are compared at once. Only pairs that are likely by their
     sketches and by their sets' least hashes become rows, each in the first tree
-    that has both in one region.
+    that has both in one region. A crowd's blocks of strangers are dealt out in
+    shares of some ``CROWD`` strangers, each of which meets the whole region.
     """
-    rows, plain = _open_regions(members, roots)
+    rows = _open_regions(members, roots)
     marked = rows.join(classes.select("id", "sketch", "heads", "sample"), "id")
 
+    shares = F.ceil(F.col("strangers") / CROWD)
+
     def blocks(of: DataFrame, size: Column, name: str) -> DataFrame:
         part = F.pmod(F.xxhash64("id"), F.ceil(size / BLOCK))
         entry = F.struct("id", "n", "root", "sketch", "heads", "sample")
-        return (
-            of.groupBy("region", "tree", "largest", part.alias("part"))
-            .agg(F.collect_list(entry).alias(name))
-            .drop("part")
-        )
+        return of.groupBy(
+            "region", "tree", "largest", shares.alias("shares"), part.alias("part")
+        ).agg(F.collect_list(entry).alias(name))
 
-    strangers = blocks(marked.filter("root <> largest"), F.col("strangers"), "x")
-    everyone = blocks(marked, F.col("all"), "y").select("region", "y")
-    both = strangers.join(everyone, "region").select("tree", "largest", "x", "y")
+    strangers = blocks(marked.filter("root <> largest"), F.col("strangers"), "x").select(
+        "region", "tree", "largest", "x", F.pmod("part", "shares").alias("share")
+    )
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))
+    everyone = blocks(marked, F.col("all"), "y").select("region", "y", every.alias("share"))
+    both = strangers.join(everyone, ["region", "share"]).select("tree", "largest", "x", "y")
 
     def compare(batch: Batch) -> Batch:
         trees = batch.column("tree").to_pylist()
@@ -359,7 +349,7 @@ def _open_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame) -> Dat
                 good &= 100 * np.minimum(n, m) >= SIMILAR * np.maximum(n, m)
                 # Two strangers meet twice.
                 good &= (y.root[ys] == most) | (x.id[k] < y.id[ys])
-                if plain and tree:
+                if tree:
                     good &= ~(y.heads[ys, :tree] == x.heads[k, :tree]).any(axis=1)
                 others = np.flatnonzero(good) + ys.start
                 others = others[_similar(x.sample[k], [y.sample[j] for j in others])]
