@@ -120,6 +120,21 @@ def test_landing_again_replaces(spark, sample, tmp_path):
     assert ingest.read_ingested(spark, root, "proveedores", DAY).count() == 4
 
 
+def test_appends_of_other_writers_all_count(spark, sample, tmp_path):
+    landing, root, marks = (str(tmp_path / n) for n in ("in", "lake", "marks"))
+    hour = "raw/proveedores/year=2024/month=01/day=15/hour=00"
+    for rows in (sample["proveedores"], sample["proveedores"].limit(4)):
+        files.land({"proveedores": rows}, spark, landing, DAY)
+        ingest.ingest(spark, "proveedores", landing, root, marks, DAY)
+        # One write beside the landing, one to a folder of appends, one of another table.
+        for folder in (hour, "raw/proveedores/socio", "varios/Ventas.csv"):
+            rows.write.mode("append").option("header", True).csv(f"{landing}/{folder}")
+        ingest.ingest(spark, "proveedores", landing, root, marks, DAY)
+        ingest.ingest_other(spark, landing, root, marks, DAY)
+    assert ingest.read_ingested(spark, root, "proveedores").count() == 4 + 2 * (10 + 4)
+    assert ingest.read_ingested(spark, root, ingest.LINES).count() == 11 + 5
+
+
 def test_taken_files_are_archived(spark, tmp_path):
     landing, root, marks = (str(tmp_path / n) for n in ("in", "lake", "marks"))
     folder = tmp_path / "in" / "raw" / "clientes"

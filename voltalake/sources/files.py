@@ -24,6 +24,9 @@ CSV_READ = {
     "columnPruning": "false",
     "columnNameOfCorruptRecord": S.CORRUPT,
 }
+# ``land`` names its files so, which tells them from part files of other writers;
+# the write's id, which follows, is that of the landing.
+LANDED = "landing"
 CSV_WRITE = {
     "header": "true",
     "escape": '"',
@@ -86,6 +89,7 @@ def land(
                 rows.observe(seen, F.count(F.lit(1)).alias("filas"))
                 .write.mode("overwrite")
                 .options(**CSV_WRITE)
+                .option("mapreduce.output.basename", LANDED)
                 .csv(f"{root}/raw/{dataset}/{layout.as_path(parts)}")
             )
             results.append((dataset, target, seen.get["filas"], "ok"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from voltalake import schemas as S
 from voltalake.functions import columns as C
-from voltalake.sources.files import CSV_READ
+from voltalake.sources.files import CSV_READ, LANDED
 from voltalake.sources.layout import table_name
 
 LINES = "otros"
@@ -27,8 +27,8 @@ FILES_PER_BATCH = 10_000
 # By default Spark passes over files a week older than the newest one seen. No
 # file is older than this, which is beyond the epoch.
 MAX_FILE_AGE = "1000000d"
-# Spark's writers name their files so; the id is that of one write.
-PART_FILE = r"/part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})[^/]*$"
+# ``files.land`` names its files so; the id is that of one landing.
+LANDED_FILE = rf"/{LANDED}-\d+-([0-9a-f]{{8}}(?:-[0-9a-f]{{4}}){{3}}-[0-9a-f]{{12}})[^/]*$"
 
 
 def _ingest_day(load_date: str | date | None) -> Column:
@@ -145,14 +145,15 @@ def read_ingested(
     """Ingested rows, of one day or all.
 
     Reading from the dataset's root goes through the sink's log, which lists
-    only the files of finished batches. Where a folder was landed again, which
-    gives its part files new names, only the last landing counts.
+    only the files of finished batches. Where ``files.land`` landed a folder again,
+    which gives its files a new id, only the last landing counts. Files of other
+    writers all count, also several writes in one folder.
     """
     rows = spark.read.parquet(f"{root}/raw/{dataset}")
     if load_date is not None:
         rows = rows.where(F.col("fecha") == C.day_literal(load_date))
     folder = F.regexp_extract("_origen", r"^(.*)/[^/]*$", 1)
-    write = F.regexp_extract("_origen", PART_FILE, 1)
+    write = F.regexp_extract("_origen", LANDED_FILE, 1)
     marked = rows.withColumns({"_carpeta": folder, "_escritura": write})
     last = (
         marked.where("_escritura != ''")
