@@ -397,6 +397,30 @@ def test_shared_lines_go(spark):
     assert extraction.main_text(docs.filter("false")).collect() == []
 
 
+def test_short_articles_lose_their_boilerplate(spark):
+    """Under a menu, a notice and a footer of more text, and beside a page that names its parts."""
+    menu = [f"Entry {k} of the menu" for k in range(10)]
+    notice = "We keep small files on your device to count visits and to show you this notice. " * 3
+    menu_html = "".join(f"<div>{x}</div>" for x in [*menu, notice])
+    plain = menu_html + "<p>{0} is a short article.<p>Its second line is on {0}.<div>The end</div>"
+    named = (
+        f"<nav>{menu_html}<script>x</script></nav><main><p>{{0}}</main><footer>The end</footer>"
+    )
+    rows = [
+        (k, f"http://{host}.org/a/{k}", of.format(name))
+        for k, (host, of, name) in enumerate([
+            ("a", plain, "Rain"), ("a", plain, "Snow"), ("b", plain, "Wind"), ("b", named, "Hail"),
+            ("c", plain, "Frost"), ("c", plain + "<p>More", "Frost"),
+        ])
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {x["page_id"]: x["text"] for x in extraction.main_text(pages).collect()}
+    short = "{0} is a short article.\nIts second line is on {0}."
+    assert [found[k] for k in range(3)] == [short.format(x) for x in ("Rain", "Snow", "Wind")]
+    assert found[3] == "Hail"
+    assert menu[0] in found[4] and "Frost" in found[4]  # a copy stays whole
+
+
 # --- packing ---------------------------------------------------------------------------
 def test_token_ids_match_the_tokenizer():
     texts = [x or "" for _, x in ODD] + ["a  b", " a", "a ", "a\x1c b", "a\n b", "don't 'S 12", *some_texts(11)]
