@@ -293,6 +293,14 @@ def dq_report(spark: SparkSession, sf: str) -> DataFrame:
     return _stack([quality.quality_report(table, name) for name, table in tables.items()])
 
 
+def dq_source(spark: SparkSession, sf: str) -> DataFrame:
+    """Unknown categories and null keys of all rows, before the filters and the deduplication."""
+    return _stack([
+        quality.source_report(normalize.typed(raw, name), name)
+        for name, raw in star.raw_datasets(spark, sf).items()
+    ])
+
+
 def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
     """Keys that repeat before the deduplication, and names that customers share."""
     typed = {
@@ -395,6 +403,7 @@ def own_queries() -> dict[str, Query]:
             segment_metrics(spark, sf), "agg_metricas_segmento"
         ),
         "dq_report": dq_report,
+        "dq_source": dq_source,
         "dq_unique": dq_unique,
         "quarantine": quarantine,
         "clientes_analista": lambda spark, sf: warehouse.analyst_customers(customers(spark, sf)),

@@ -508,3 +508,27 @@ ORACLES["catalog_listing"] = " UNION ALL ".join(
         ("metricas_segmento", 11),
     )
 )
+# Over the raw texts, so apart from the typed and cleaned rows.
+ORACLES["dq_source"] = _with(_RAW_SUPPLIERS, _RAW_CUSTOMERS, _RAW_TRANSACTIONS) + (
+    "SELECT tabla, regla, filas_malas, filas_malas = 0 AS cumple FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{table}' AS tabla, '{rule}' AS regla, COUNT(*) FILTER (WHERE {bad}) AS filas_malas "
+        f"FROM {source}"
+        for table, source, rule, bad in (
+            ("proveedores", "raw_p", "tipo_energia_valido",
+             "lower(trim(tipo_energia)) NOT IN ('eolica', 'hidroelectrica', 'nuclear')"),
+            ("proveedores", "raw_p", "tipo_energia_no_nulo", "tipo_energia IS NULL"),
+            ("proveedores", "raw_p", "nombre_no_nulo", "nombre_proveedor IS NULL"),
+            ("clientes", "raw_c", "tipo_identificacion_valido",
+             "upper(trim(tipo_identificacion)) NOT IN ('CC', 'NIT', 'CE', 'PP', 'TI')"),
+            ("clientes", "raw_c", "tipo_identificacion_no_nulo", "tipo_identificacion IS NULL"),
+            ("clientes", "raw_c", "identificacion_no_nula", "identificacion IS NULL"),
+            ("transacciones", "raw_t", "id_no_nulo", "id_transaccion IS NULL"),
+            ("transacciones", "raw_t", "tipo_energia_valido",
+             "lower(trim(tipo_energia)) NOT IN ('eolica', 'hidroelectrica', 'nuclear')"),
+            ("transacciones", "raw_t", "tipo_transaccion_valido",
+             "lower(trim(tipo_transaccion)) NOT IN ('compra', 'venta')"),
+        )
+    )
+    + ")"
+)

@@ -1,6 +1,6 @@
 from conftest import DAY, plan_of, values
 from voltalake.operators import enrich, quality
-from voltalake.operators.normalize import normalize_customers, normalize_suppliers
+from voltalake.operators.normalize import normalize_customers, normalize_suppliers, typed
 
 
 def failing(report):
@@ -32,6 +32,34 @@ def test_findings_are_counted(raw):
     }
 
 
+def test_dropped_and_merged_rows_are_counted(raw):
+    suppliers = raw("proveedores", [
+        (None, "eolica", "Colombia", "1", "2021-03-15", "true"),
+        (None, " EOLICA", "Colombia", "1", "2021-03-16", "true"),
+        ("x", "carbon", "Colombia", "1", "2021-03-15", "true"),
+        ("x", None, "Colombia", "1", "2021-03-15", "true"),
+    ])
+    report = quality.source_report(typed(suppliers, "proveedores"), "proveedores")
+    assert failing(report) == {
+        "tipo_energia_valido": 1, "tipo_energia_no_nulo": 1, "nombre_no_nulo": 2,
+    }
+    customers = raw("clientes", [
+        ("CC", None, "a", "cali", "residencial", "2020-01-01", "1"),
+        ("cc ", None, "b", "cali", "residencial", "2020-01-01", "1"),
+        ("RC", "1", "c", "cali", "residencial", "2020-01-01", "1"),
+        (None, "2", "d", "cali", "residencial", "2020-01-01", "1"),
+    ])
+    report = quality.source_report(typed(customers, "clientes"), "clientes")
+    assert failing(report) == {
+        "tipo_identificacion_valido": 1, "tipo_identificacion_no_nulo": 1,
+        "identificacion_no_nula": 2,
+    }
+    sale = ("venta", "x", "1", "1", "eolica", "2024-01-05", "completada", "mayorista")
+    sales = raw("transacciones", [(None, *sale), (None, *sale)])
+    report = quality.source_report(typed(sales, "transacciones"), "transacciones")
+    assert failing(report) == {"id_no_nulo": 2}
+
+
 def test_missing_column_and_empty_table(sample):
     table = normalize_suppliers(sample["proveedores"], DAY)
     report = quality.quality_report(table.drop("activo"), "proveedores")

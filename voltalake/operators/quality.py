@@ -16,6 +16,15 @@ REQUIRED_COLUMNS = {
     "transacciones": ("id_transaccion", "tipo_transaccion", "cantidad_kwh", "precio_cop_kwh"),
 }
 
+# Checks whose bad rows the cleaning drops or merges.
+SOURCE_RULES = {
+    "proveedores": ("tipo_energia_valido", "tipo_energia_no_nulo", "nombre_no_nulo"),
+    "clientes": (
+        "tipo_identificacion_valido", "tipo_identificacion_no_nulo", "identificacion_no_nula",
+    ),
+    "transacciones": ("id_no_nulo", "tipo_energia_valido", "tipo_transaccion_valido"),
+}
+
 
 def row_checks(dataset: str) -> dict[str, Column]:
     """Condition that makes a row bad, by check."""
@@ -78,7 +87,19 @@ def quality_report(table: DataFrame, dataset: str) -> DataFrame:
     ).withColumn("no_vacia", F.when(F.col("_rows") == 0, 1).otherwise(0).cast("bigint"))
     present = {f"columna_{name}": F.lit(0).cast("bigint") for name in REQUIRED_COLUMNS[dataset]}
     counted = counted.withColumns(present)
-    rules = ["no_vacia", *present, *checks]
+    return _as_rules(counted, dataset, ["no_vacia", *present, *checks])
+
+
+def source_report(typed: DataFrame, dataset: str) -> DataFrame:
+    """Unknown categories and null keys of all typed rows, before any is dropped or
+    merged: the same columns as ``quality_report``."""
+    every = row_checks(dataset)
+    rules = SOURCE_RULES[dataset]
+    counted = typed.agg(*[F.count_if(every[rule]).alias(rule) for rule in rules])
+    return _as_rules(counted, dataset, list(rules))
+
+
+def _as_rules(counted: DataFrame, dataset: str, rules: list[str]) -> DataFrame:
     return counted.unpivot([], rules, "regla", "filas_malas").select(
         F.lit(dataset).alias("tabla"),
         "regla",
