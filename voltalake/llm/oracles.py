@@ -62,7 +62,35 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN matched USING (doc_id)
 """
 
+HARD_NEGATIVES = """
+WITH usable AS (
+    SELECT row_number() OVER () AS nr, vec_id,
+        CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.nr AS anchor, a.vec_id AS anchor_id, b.nr, b.vec_id, a.label = b.label AS same,
+        list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.nr <> b.nr
+), positives AS (
+    SELECT anchor, anchor_id, nr, vec_id AS positive_id, score AS positive_score FROM scored
+    WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5
+), negatives AS (
+    SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id,
+        s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor, p.nr ORDER BY s.score DESC, s.vec_id) AS rank
+    FROM positives p JOIN scored s ON p.anchor = s.anchor AND NOT s.same
+        AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= 3
+"""
+
 ORACLES = {
     "op8_near_duplicates": NEAR_DUPLICATES,
     "op10_decontamination": DECONTAMINATION,
+    "op11_hard_negatives": HARD_NEGATIVES,
 }

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltalake.llm import (
+    balanced_shards,
     decontamination,
     extraction,
+    hard_negatives,
     language,
     near_duplicates,
     packing,
+    periodic_runs,
     quality_rules,
     resampling,
     suffix_dedup,
@@ -82,6 +85,18 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return found.drop("items")
 
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    return hard_negatives.mined(table(spark, sf, "embeddings"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return periodic_runs.document_runs(table(spark, sf, "documents"), loop=True)
+
+
+def op13_balanced_shards(spark: SparkSession, sf: str) -> DataFrame:
+    return balanced_shards.shard_documents(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Query]:
     """The operators' queries by name."""
     return {
@@ -95,6 +110,9 @@ def queries() -> dict[str, Query]:
         "op8_near_duplicates": op8_near_duplicates,
         "op9_quality_rules": op9_quality_rules,
         "op10_decontamination": op10_decontamination,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_balanced_shards": op13_balanced_shards,
     }
 
 
