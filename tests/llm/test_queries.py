@@ -25,6 +25,13 @@ COLUMNS = {
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "score", "kept",
     ],
+    "op12_periodic_runs": [
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
+        "collapsed_sha256",
+    ],
+    "op13_balanced_shards": [
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard",
+    ],
 }
 
 

@@ -7,11 +7,12 @@ Documents with equal texts are linked. Balanced label propagation decides:
 2. *Rounds.* Documents of one text count, by an aggregate, how many bytes of that
    text each shard holds. A join tells each document the fullest such shard with
    room, and it asks to move there. Requests are summed by shard, target and
-   bucket of a hash; a shard accepts as many buckets as its quota admits, that is
-   its room up to the even share, and what it gives in exchange. Rounds end when
-   nothing moves. A text too large for one shard fills one after the other.
+   bucket of a hash; those are granted that keep the target within its quota, the
+   even share and half a percent, where what moves away makes room. Rounds end
+   when nothing moves. A text too large for one shard fills one after the other.
 3. *Filling.* Documents without a link are dealt out last, largest first, and
-   level the shards: at the end they differ by less than the largest of these.
+   level the shards: at the end they differ by less than the largest of these, or
+   by the half percent where too few of them are left.
 
 The driver gets sums for shards, classes of sizes and buckets, which are bounded
 by their numbers and not by the corpus. Sizes below ``EXACT`` are classes of their
@@ -27,7 +28,6 @@ gives no rows.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from heapq import heapify, heapreplace
 
 from pyspark.sql import DataFrame
@@ -44,6 +44,8 @@ BUCKETS = 256
 # A text moves as a whole unless what one shard has of it is more than this part
 # of a shard; then its documents move one by one.
 WHOLE = 64
+# A shard takes linked documents up to this part more than its even share.
+SLACK = 200
 TEXT = ["hash", "size", "text_crc32"]
 PLAN = "of long, first long, last long, shard int"
 
@@ -132,31 +134,27 @@ def dealt(rows: DataFrame, loads: list[int]) -> DataFrame:
 
 
 def accepted(
-    asked: dict[tuple[int, int], list[tuple[int, int]]], room: list[int]
+    asked: list[tuple[int, int, int, int]], loads: list[int], limit: int
 ) -> list[tuple[int, int, int]]:
-    """(shard, target, buckets): how many buckets of its requests a target takes.
+    """(shard, target, bucket) of requests that keep every target within ``limit`` bytes.
 
-    ``asked`` has (bucket, bytes) in order for each shard and target. Two shards
-    exchange what both ask of each other; the room goes to the others in proportion.
+    ``asked`` are (bucket, shard, target, bytes), taken in this order. What leaves a
+    shard makes room there, so passes go on while they find something. ``loads`` are
+    brought up to date.
     """
-    wanted = {pair: sum(n for _, n in of) for pair, of in asked.items()}
-    swapped = {(a, b): min(n, wanted.get((b, a), 0)) for (a, b), n in wanted.items()}
-    rest: dict[int, int] = defaultdict(int)
-    for (a, b), n in wanted.items():
-        rest[b] += n - swapped[a, b]
-    out = []
-    for (a, b), of in sorted(asked.items()):
-        open_ = wanted[a, b] - swapped[a, b]
-        share = room[b] * open_ // rest[b] if rest[b] > room[b] else open_
-        quota, taken = swapped[a, b] + max(0, share), 0
-        limit = 0
-        for bucket, n in of:
-            taken += n
-            if taken > quota:
-                break
-            limit = bucket + 1
-        if limit:
-            out.append((a, b, limit))
+    out, waiting = [], sorted(asked)
+    while waiting:
+        refused = []
+        for bucket, shard, target, n in waiting:
+            if loads[target] + n <= limit:
+                loads[target] += n
+                loads[shard] -= n
+                out.append((shard, target, bucket))
+            else:
+                refused.append((bucket, shard, target, n))
+        if len(refused) == len(waiting):
+            break
+        waiting = refused
     return out
 
 
@@ -200,25 +198,23 @@ def bytes_of(placed: DataFrame, shards: int) -> list[int]:
 def propagate(placed: DataFrame, shards: int, share: int) -> DataFrame:
     """Linked documents after the rounds; ``share`` is a shard's even part of all bytes."""
     spark = placed.sparkSession
+    limit = share + share // SLACK
     for turn in range(ROUNDS):
-        room = [max(0, share - x) for x in bytes_of(placed, shards)]
+        loads = bytes_of(placed, shards)
+        room = [max(0, limit - x) for x in loads]
         wishes = stage(requests(placed, room, share, turn), "requests")
-        asked: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        sums = wishes.filter("target is not null").groupBy("shard", "target", "bucket")
-        for x in sorted(sums.agg(F.sum("size")).collect()):
-            asked[x[0], x[1]].append((x[2], x[3]))
-        taken = accepted(asked, room)
+        sums = wishes.filter("target is not null").groupBy("bucket", "shard", "target")
+        asked = [tuple(x) for x in sums.agg(F.sum("size")).collect()]
+        taken = accepted(asked, loads, limit)
         placed = wishes.drop("target", "whole", "bucket")
         if not taken:
             break
-        limits = spark.createDataFrame(taken, "shard int, target int, `limit` int")
-        # At most a row for each pair of shards.
+        moving = spark.createDataFrame(taken, "shard int, target int, bucket int")
+        # At most a row for each pair of shards and bucket.
+        moving = F.broadcast(moving.withColumn("moves", F.lit(True)))
         placed = (
-            wishes.join(F.broadcast(limits), ["shard", "target"], "left")
-            .withColumn(
-                "shard",
-                F.when(F.col("bucket") < F.col("limit"), F.col("target")).otherwise(F.col("shard")),
-            )
+            wishes.join(moving, ["shard", "target", "bucket"], "left")
+            .withColumn("shard", F.when(F.col("moves"), F.col("target")).otherwise(F.col("shard")))
             .select(placed.columns)
         )
     return stage(placed, "placed")
