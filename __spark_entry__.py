@@ -114,6 +114,52 @@ def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.readable(rows).drop("_origen", "_ingerido_en")
 
 
+def partner_landing(spark: SparkSession, sf: str) -> str:
+    """A lake that took in, by two runs, landings and what partners left beside them.
+
+    Suppliers come in a file of reversed columns, and with a file of another table in
+    their folder; customers are landed twice for one hour, the second time without rows,
+    and once for another hour.
+    """
+    landing, root = fresh_folder(spark, "landing"), fresh_folder(spark, "lake")
+    checkpoint = fresh_folder(spark, "ingest")
+    raw = star.raw_datasets(spark, sf)
+    reversed_ = raw["proveedores"].select(*S.RAW_COLUMNS["proveedores"][::-1])
+    reversed_.write.options(**files.CSV_WRITE).csv(f"{landing}/raw/proveedores/socio")
+    nations = spark.read.parquet(f"{sf}/nation.parquet").select("n_name").coalesce(1)
+    nations.write.option("header", True).csv(f"{landing}/raw/proveedores/ajeno")
+    files.land(raw, spark, landing, LOAD_DATE, 8)
+    files.land({"proveedores": raw["proveedores"].limit(0)}, spark, landing, LOAD_DATE, 8)
+    files.land({"clientes": raw["clientes"]}, spark, landing, LOAD_DATE, 9)
+    ingest.ingest_all(spark, landing, root, checkpoint, LOAD_DATE)
+    files.land({"clientes": raw["clientes"].limit(0)}, spark, landing, LOAD_DATE, 9)
+    ingest.ingest_all(spark, landing, root, checkpoint, LOAD_DATE)
+    return root
+
+
+def ingest_reordenado(spark: SparkSession, sf: str) -> DataFrame:
+    """All suppliers, from the file with reversed columns."""
+    rows = ingest.read_ingested(spark, partner_landing(spark, sf), "proveedores", LOAD_DATE)
+    return normalize.readable(rows).select(*S.RAW_COLUMNS["proveedores"])
+
+
+def ingest_cuarentena(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that each dataset took in, and the lines of files that it could not."""
+    root = partner_landing(spark, sf)
+    taken = _stack([
+        ingest.read_ingested(spark, root, name).agg(
+            F.lit(name).alias("tabla"), F.lit("ingerido").alias("motivo"),
+            F.count(F.lit(1)).alias("lineas"),
+        )
+        for name in S.RAW_COLUMNS
+    ])
+    letters = _stack([
+        ingest.read_dead_letters(spark, root, name).select(F.lit(name).alias("tabla"), "motivo")
+        for name in S.RAW_COLUMNS
+    ])
+    return taken.unionByName(letters.groupBy("tabla", "motivo").agg(F.count(F.lit(1)).alias("lineas")))
+
+
 def landing_layout(spark: SparkSession, sf: str) -> DataFrame:
     root = fresh_folder(spark, "landing")
     return files.land(star.raw_datasets(spark, sf), spark, root, LOAD_DATE, "08")
@@ -133,32 +179,68 @@ def catalog_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return status.drop("zona").join(rows, "tabla")
 
 
+def catalog_zones(spark: SparkSession, sf: str) -> DataFrame:
+    """Status of all zones after an ingest, a load and a stored query; refreshed twice."""
+    landing, root = fresh_folder(spark, "landing"), fresh_folder(spark, "lake")
+    files.land(star.raw_datasets(spark, sf), spark, landing, LOAD_DATE)
+    ingest.ingest_all(spark, landing, root, fresh_folder(spark, "ingest"), LOAD_DATE)
+    daily.load_ingested(spark, root, LOAD_DATE)
+    results = analytics.run_queries(daily.processed_tables(spark, root, LOAD_DATE), LOAD_DATE, "q7")
+    files.write_curated(results["q7"], root, "q7")
+    database = Path(root).name.replace("-", "_")
+    catalog.refresh(spark, root, database)
+    status = catalog.refresh(spark, root, database).where("estado = 'SUCCEEDED'")
+    rows = _stack([
+        spark.table(f"{database}_{zone}.{name}").agg(
+            F.lit(zone).alias("zona"), F.lit(name).alias("tabla"),
+            F.count(F.lit(1)).alias("filas"),
+        )
+        for zone, names in (("raw", S.RAW_COLUMNS), ("processed", S.PROCESSED), ("curated", ["q7"]))
+        for name in names
+    ])
+    return status.join(rows, ["zona", "tabla"])
+
+
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return loaded(spark, sf)[1]
 
 
-def warehouse_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows and one total of each warehouse table after a load."""
+def stored_warehouse(spark: SparkSession, sf: str) -> str:
+    """The warehouse database of a fresh daily load, loaded twice."""
     root, _ = loaded(spark, sf)
     location = fresh_folder(spark, "dwh")
     database = Path(location).name.replace("-", "_")
     warehouse_tables.create_tables(spark, database, location)
-    warehouse_tables.load(spark, daily.processed_tables(spark, root, LOAD_DATE), database)
-    measures = {
-        "dim_proveedores": "capacidad_mw",
-        "dim_clientes": "consumo_promedio_kwh",
-        "fact_transacciones": "valor_total_cop",
-        "agg_metricas_energia": "total_cop",
-        "agg_metricas_segmento": "total_cop",
-    }
-    return _stack([
-        spark.table(f"{database}.{table}").agg(
+    for _ in range(2):
+        tables = daily.processed_tables(spark, root, LOAD_DATE)
+        warehouse_tables.load(spark, tables, database)
+    return database
+
+
+def warehouse_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each warehouse table after a load, with a sum over hashes of all columns."""
+    database = stored_warehouse(spark, sf)
+
+    def summed(table: str) -> DataFrame:
+        texts = [
+            F.coalesce(F.col(name).cast("string"), F.lit("")) for name in S.WAREHOUSE[table]
+        ]
+        digits = F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 12), 16, 10)
+        return spark.table(f"{database}.{table}").agg(
             F.lit(table).alias("tabla"),
             F.count(F.lit(1)).alias("filas"),
-            F.sum(measure).cast("decimal(38,2)").alias("suma"),
+            F.sum(digits.cast("decimal(20,0)")).cast("decimal(38,0)").alias("huella"),
         )
-        for table, measure in measures.items()
-    ])
+
+    return _stack([summed(table) for table in S.WAREHOUSE])
+
+
+def stored_margin(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.table(f"{stored_warehouse(spark, sf)}.v_margen_energia")
+
+
+def stored_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.table(f"{stored_warehouse(spark, sf)}.v_resumen_diario")
 
 
 def export_result(spark: SparkSession, sf: str) -> DataFrame:
@@ -358,10 +440,15 @@ def own_queries() -> dict[str, Query]:
         "scan_partition": scan_partition,
         "sink_parquet": sink_parquet,
         "ingest_stream": ingest_stream,
+        "ingest_reordenado": ingest_reordenado,
+        "ingest_cuarentena": ingest_cuarentena,
         "landing_layout": landing_layout,
         "catalog_refresh": catalog_refresh,
+        "catalog_zones": catalog_zones,
         "run_metrics": run_metrics,
         "warehouse_load": warehouse_load,
+        "stored_margin": stored_margin,
+        "stored_summary": stored_summary,
         "export_result": export_result,
         "export_json": export_json,
         "catalog_listing": catalog_listing,

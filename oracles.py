@@ -6,6 +6,8 @@ from the star schema, then the cleaned ones, then the query itself.
 
 from __future__ import annotations
 
+from voltalake.schemas import WAREHOUSE
+
 LOAD_DATE = "2024-01-15"
 SECOND_DATE = "2024-02-20"
 
@@ -341,6 +343,13 @@ SELECT id_transaccion, tipo_transaccion, nombre_cliente_proveedor, ROUND(cantida
   CAST(date_diff('day', fecha_transaccion, DATE '{LOAD_DATE}') AS INTEGER) AS dias_pendiente
 FROM d WHERE estado = 'pendiente' ORDER BY dias_pendiente DESC, valor_cop DESC, id_transaccion"""
 
+
+
+def _texts(table: str) -> str:
+    """All columns of a warehouse table as texts, an empty one for NULL."""
+    return ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in WAREHOUSE[table])
+
+
 ORACLES = {
     "scan_csv": _with(_RAW_TRANSACTIONS) + "SELECT * FROM raw_t",
     "scan_partition": _with(_RAW_CUSTOMERS, _customers(SECOND_DATE, SECOND_DATE))
@@ -361,17 +370,50 @@ ORACLES = {
     + f"""SELECT tabla, columnas, CAST(1 AS BIGINT) AS particiones, 'SUCCEEDED' AS estado, filas
 FROM ({_counts()}) JOIN (VALUES ('proveedores', 11), ('clientes', 13), ('transacciones', 21),
   ('metricas_energia', 13), ('metricas_segmento', 11)) AS w(nombre, columnas) ON tabla = nombre""",
-    "run_metrics": _with(*_ALL) + _counts(),
+    "run_metrics": _with(*_ALL)
+    + f"""SELECT tabla, CAST(leidas AS BIGINT) AS leidas, CAST(ilegibles AS BIGINT) AS ilegibles,
+  CAST(leidas - conocidas AS BIGINT) AS filtradas, CAST(conocidas - filas AS BIGINT) AS fusionadas,
+  filas
+FROM ({_counts()}) LEFT JOIN (
+  SELECT 'proveedores' AS nombre, COUNT(*) AS leidas, 0 AS ilegibles, COUNT(*) FILTER
+    (WHERE lower(trim(tipo_energia)) IN ('eolica', 'hidroelectrica', 'nuclear')) AS conocidas
+  FROM raw_p
+  UNION ALL SELECT 'clientes', COUNT(*), 0, COUNT(*) FILTER
+    (WHERE upper(trim(tipo_identificacion)) IN ('CC', 'NIT', 'CE', 'PP', 'TI')) FROM raw_c
+  UNION ALL SELECT 'transacciones', COUNT(*), 0, COUNT(*) FROM raw_t
+) ON tabla = nombre""",
+    "catalog_zones": _with(*_ALL)
+    + f"""SELECT zona, tabla, columnas, CAST(particiones AS BIGINT) AS particiones,
+  'SUCCEEDED' AS estado, filas
+FROM (SELECT 'processed' AS zona, tabla, filas FROM ({_counts()})
+  UNION ALL SELECT 'raw', 'proveedores', COUNT(*) FROM raw_p
+  UNION ALL SELECT 'raw', 'clientes', COUNT(*) FROM raw_c
+  UNION ALL SELECT 'raw', 'transacciones', COUNT(*) FROM raw_t
+  UNION ALL SELECT 'curated', 'q7', COUNT(*) FROM p WHERE activo)
+JOIN (VALUES ('processed', 'proveedores', 11, 1), ('processed', 'clientes', 13, 1),
+  ('processed', 'transacciones', 21, 1), ('processed', 'metricas_energia', 13, 1),
+  ('processed', 'metricas_segmento', 11, 1), ('raw', 'proveedores', 13, 1),
+  ('raw', 'clientes', 14, 1), ('raw', 'transacciones', 16, 1), ('curated', 'q7', 5, NULL)
+) AS w(zona, tabla, columnas, particiones) USING (zona, tabla)""",
+    "ingest_reordenado": _with(_RAW_SUPPLIERS) + "SELECT * FROM raw_p",
+    "ingest_cuarentena": _with(_RAW_SUPPLIERS, _RAW_CUSTOMERS, _RAW_TRANSACTIONS)
+    + """SELECT 'proveedores' AS tabla, 'ingerido' AS motivo, COUNT(*) AS lineas FROM raw_p
+UNION ALL SELECT 'clientes', 'ingerido', COUNT(*) FROM raw_c
+UNION ALL SELECT 'transacciones', 'ingerido', COUNT(*) FROM raw_t
+UNION ALL SELECT 'proveedores', 'columnas desconocidas: n_name; columnas que faltan: '
+  || 'nombre_proveedor, tipo_energia, pais_origen, capacidad_mw, fecha_registro, activo',
+  COUNT(*) + 1 FROM nation""",
     "warehouse_load": _with(*_ALL, _DIM_P, _DIM_C, _FACT, _AGG_E, _AGG_S)
     + " UNION ALL ".join(
         f"SELECT '{table}' AS tabla, COUNT(*) AS filas, "
-        f"CAST(SUM({measure}) AS DECIMAL(38,2)) AS suma FROM {source}"
-        for table, source, measure in (
-            ("dim_proveedores", "dim_p", "capacidad_mw"),
-            ("dim_clientes", "dim_c", "consumo_promedio_kwh"),
-            ("fact_transacciones", "fact", "valor_total_cop"),
-            ("agg_metricas_energia", "agg_e", "total_cop"),
-            ("agg_metricas_segmento", "agg_s", "total_cop"),
+        f"CAST(SUM(('0x' || md5(concat_ws('|', {_texts(table)}))[1:12])::BIGINT) AS DECIMAL(38,0)) "
+        f"AS huella FROM {source}"
+        for table, source in (
+            ("dim_proveedores", "dim_p"),
+            ("dim_clientes", "dim_c"),
+            ("fact_transacciones", "fact"),
+            ("agg_metricas_energia", "agg_e"),
+            ("agg_metricas_segmento", "agg_s"),
         )
     ),
     "export_result": _with(*_D) + _PENDING,
@@ -496,6 +538,8 @@ FROM raw_t WHERE motivo <> ''""",
 
 # The same rows by way of stored tables.
 ORACLES["stored_queries"] = ORACLES["q3"]
+ORACLES["stored_margin"] = ORACLES["v_margen_energia"]
+ORACLES["stored_summary"] = ORACLES["v_resumen_diario"]
 ORACLES["analyst_views"] = ORACLES["clientes_analista"]
 # Columns of the stored tables: those of their rows and three of the load date.
 ORACLES["catalog_listing"] = " UNION ALL ".join(

@@ -46,7 +46,7 @@ def test_raw_and_curated_zones(spark, tmp_path):
         for r in catalog.refresh(spark, root, "zonas").collect()
     }
     assert {k: v for k, v in status.items() if k[0] == "raw"} == {
-        ("raw", name): (None, "SUCCEEDED") for name in S.RAW_COLUMNS
+        ("raw", name): (1, "SUCCEEDED") for name in S.RAW_COLUMNS
     }
     assert {k[1] for k, v in status.items() if v[1] == "FAILED"} == {"q2", "q3", "q4", "q5", "q6"}
     assert spark.table("zonas_raw.transacciones").where("fecha = '2024-01-15'").count() == 15
@@ -83,3 +83,33 @@ def test_analysts_see_no_identification(spark, root):
     shown = spark.table("gob_analistas.clientes_analista")
     assert "identificacion" not in shown.columns
     assert "identificacion_enmascarada" in shown.columns and shown.count() == 10
+
+
+def test_a_refresh_opens_only_new_footers(spark, sample, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    opened = []
+    columns_in = catalog._columns_in
+    monkeypatch.setattr(
+        catalog, "_columns_in", lambda s, x, p: opened.append(list(x)) or columns_in(s, x, p)
+    )
+    suppliers = files.read_processed  # the stored form of the sample
+    daily.run_load(sample, root, DAY)
+    rows = suppliers(spark, root, "proveedores", DAY)
+    catalog.refresh(spark, root, "nuevo", "processed")
+    opened.clear()
+    catalog.refresh(spark, root, "nuevo", "processed")
+    assert opened == []
+    files.write_processed(rows, root, "proveedores", "2024-02-01")
+    catalog.refresh(spark, root, "nuevo", "processed")
+    assert opened == [[f"{root}/processed/proveedores/year=2024/month=02/day=01"]]
+    assert spark.table("nuevo_processed.proveedores").count() == 20
+
+
+def test_partitions_without_a_folder_go(spark, sample, tmp_path):
+    root, landing, marks = (str(tmp_path / x) for x in ("lake", "in", "marks"))
+    for rows in (sample["clientes"], sample["clientes"].limit(3)):
+        files.land({"clientes": rows}, spark, landing, DAY)
+        ingest.ingest(spark, "clientes", landing, root, marks, DAY)
+        catalog.refresh(spark, root, "menos", "raw")
+    assert spark.table("menos_raw.clientes").count() == 3
+    assert spark.sql("SHOW PARTITIONS menos_raw.clientes").count() == 1

@@ -82,11 +82,83 @@ def test_lines_of_the_wrong_shape(spark, tmp_path):
     ]
 
 
-def test_header_in_another_order_is_an_error(spark, tmp_path):
-    header = ",".join(reversed(S.RAW_COLUMNS["proveedores"]))
-    root = csv_file(tmp_path, f"{header}\ntrue,2024-01-01,1,x,eolica,a\n")
-    with pytest.raises(Exception, match="CSV header does not conform"):
-        files.scan_csv(spark, root, "proveedores").collect()
+def written(folder, **files_by_name):
+    folder.mkdir(parents=True, exist_ok=True)
+    for name, text in files_by_name.items():
+        (folder / f"{name}.csv").write_text(text, encoding="utf-8")
+
+
+ROW = {
+    "nombre_proveedor": "a", "tipo_energia": "eolica", "pais_origen": "x", "capacidad_mw": "1",
+    "fecha_registro": "2024-01-01", "activo": "true",
+}
+
+
+def test_columns_are_mapped_by_each_files_header(spark, tmp_path):
+    names = list(ROW)
+    orders = {"uno": names, "dos": names[::-1], "tres": names[3:] + names[:3]}
+    texts = {k: f"{','.join(x)}\n{','.join(ROW[c] for c in x)}\n" for k, x in orders.items()}
+    texts["cuatro"] = "\n \n\ufeff" + texts["dos"].upper().replace("TRUE", "true")
+    folder = tmp_path / "raw" / "proveedores" / "un día {1}"
+    written(folder, **{**texts, "cuatro": texts["cuatro"].lstrip("\n ")}, vacio="")
+    rows = files.scan_csv(spark, str(tmp_path), "proveedores")
+    assert {tuple(x)[0].lower() for x in values(readable(rows))} == {"a"}
+    assert sorted(values(readable(rows))) == sorted([tuple(ROW.values())] * 3 + [
+        tuple(v if v == "true" else v.upper() for v in ROW.values())
+    ])
+
+
+def test_lines_under_a_foreign_header_go_to_quarantine(spark, tmp_path):
+    good = f"{','.join(ROW)}\n{','.join(ROW.values())}\n"
+    written(
+        tmp_path / "raw" / "proveedores",
+        bueno=good, ajeno=good.replace("pais_origen", "pais"), corto="activo\ntrue\n",
+        doble=good.replace("pais_origen", "activo"),
+    )
+    rows = files.scan_csv(spark, str(tmp_path), "proveedores")
+    assert values(readable(rows)) == [tuple(ROW.values())]
+    bad = values(quarantine(rows, "proveedores"), S.CORRUPT, "motivo")
+    assert len(bad) == 6 and {x[1] for x in bad} == {S.CORRUPT}
+    assert ("true", S.CORRUPT) in bad
+
+
+def test_records_may_span_lines(spark, tmp_path):
+    header = ",".join(ROW)
+    written(
+        tmp_path / "raw" / "proveedores",
+        largo=f'{header}\n"a\nb\r\n ""c""",eolica,x,1,2024-01-01,true\nd,eolica,x,1,2024-01-01,true\n',
+        abierto=f'{header}\n"a,eolica,x,1,2024-01-01,true\ne,eolica,x,1,2024-01-01,true\n',
+    )
+    rows = files.scan_csv(spark, str(tmp_path), "proveedores")
+    assert sorted(values(readable(rows), "nombre_proveedor")) == [
+        ('a\nb\r\n "c"',), ("d",), ("e",),
+    ]
+    # A quote that nothing closes spoils its own line only.
+    assert values(quarantine(rows, "proveedores"), S.CORRUPT) == [
+        ('"a,eolica,x,1,2024-01-01,true',)
+    ]
+
+
+def test_landed_line_breaks_come_back(spark, raw, tmp_path):
+    rows = [("a\nb\"c", "eolica", " \n", "1", "2024-01-01", None)]
+    files.land({"proveedores": raw("proveedores", rows)}, spark, str(tmp_path), DAY)
+    assert values(readable(files.scan_csv(spark, str(tmp_path), "proveedores"))) == rows
+
+
+def test_a_file_that_cannot_be_read_stops_no_other(spark, tmp_path):
+    folder = tmp_path / "raw" / "proveedores"
+    written(folder, **{f"b{k}": f"{','.join(ROW)}\n{','.join(ROW.values())}\n" for k in range(5)})
+    (folder / "roto.csv.gz").write_bytes(b"\x1f\x8b\x08\x00 not gzip")
+    rows = files.scan_csv(spark, str(tmp_path), "proveedores")
+    assert len(values(readable(rows))) == 5
+    [(text,)] = values(quarantine(rows, "proveedores"), S.CORRUPT)
+    assert "roto.csv.gz: ilegible" in text
+
+
+def test_landing_a_file_with_a_foreign_header_is_an_error(spark, tmp_path):
+    written(tmp_path, malo="a,b\n1,2\n")
+    with pytest.raises(ValueError, match="columnas desconocidas: a, b"):
+        files.land({"proveedores": str(tmp_path / "malo.csv")}, spark, str(tmp_path), DAY)
 
 
 def test_a_load_replaces_only_its_own_date(spark, sample, tmp_path):

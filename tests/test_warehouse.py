@@ -42,7 +42,7 @@ def test_types(spark, processed):
     tables.create_tables(spark, "dwh_types")
     described = {
         r["col_name"]: r["data_type"]
-        for r in spark.sql("DESCRIBE dwh_types.fact_transacciones").collect()
+        for r in spark.sql("DESCRIBE dwh_types.fact_transacciones_cargas").collect()
     }
     for name, kind in S.WAREHOUSE["fact_transacciones"].items():
         assert described[name] == kind.removesuffix(" not null")
@@ -91,3 +91,49 @@ def test_facts_are_gathered_by_month_and_split_if_large(processed):
     rows = warehouse.warehouse_rows(processed["transacciones"], "fact_transacciones")
     plan = plan_of(tables.laid_out(rows, "fact_transacciones"))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_a_load_that_fails_midway_leaves_all_content(spark, processed, monkeypatch):
+    tables.create_tables(spark, "dwh_midway")
+    tables.load(spark, processed, "dwh_midway")
+    before = {t: values(spark.table(f"dwh_midway.{t}")) for t in S.WAREHOUSE}
+    append = tables._append
+    done = []
+
+    def failing(rows, database, table, lot):
+        if len(done) == 3:
+            raise RuntimeError("lost")
+        done.append(table)
+        append(rows, database, table, lot)
+
+    fewer = {name: rows.limit(1) for name, rows in processed.items()}
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "_append", failing)
+        with pytest.raises(RuntimeError, match="lost"):
+            tables.load(spark, fewer, "dwh_midway")
+    assert {t: values(spark.table(f"dwh_midway.{t}")) for t in S.WAREHOUSE} == before
+    # The next load drops what that one left behind.
+    for _ in range(3):
+        tables.load(spark, fewer, "dwh_midway")
+    for table in S.WAREHOUSE:
+        assert spark.table(f"dwh_midway.{table}").count() == 1
+        assert spark.table(f"dwh_midway.{table}_cargas").select("lote").distinct().count() == 2
+
+
+def test_only_the_shown_load_is_read(spark, processed):
+    tables.create_tables(spark, "dwh_pruned")
+    for _ in range(2):
+        tables.load(spark, processed, "dwh_pruned")
+    plan = plan_of(spark.table("dwh_pruned.fact_transacciones").where("anio = 2024"))
+    assert "PartitionFilters: [isnotnull(lote" in plan and "subquery" in plan.lower()
+
+
+def test_stored_views_equal_the_functions(spark, processed):
+    tables.create_tables(spark, "dwh_views")
+    tables.load(spark, processed, "dwh_views")
+    margin = warehouse.margin_view(spark.table("dwh_views.agg_metricas_energia"))
+    summary = warehouse.daily_summary_view(spark.table("dwh_views.fact_transacciones"))
+    for name, expected in (("v_margen_energia", margin), ("v_resumen_diario", summary)):
+        found = spark.table(f"dwh_views.{name}")
+        assert found.dtypes == expected.dtypes
+        assert sorted(values(found), key=str) == sorted(values(expected), key=str)

@@ -97,7 +97,12 @@ def enrich_transactions(
     then read two columns of the files, and the deduplication does not run
     again for the join.
     """
-    rows = stage(derived(clean_transactions(raw)), "transacciones", folder)
+    return enriched(typed(raw, "transacciones"), load_date, folder)
+
+
+def enriched(rows: DataFrame, load_date: str | date, folder: str | None = None) -> DataFrame:
+    """The same from typed rows."""
+    rows = stage(derived(unique(rows, "transacciones")), "transacciones", folder)
     averages = stage(price_averages(rows), "precios", folder)
     return with_price_stats(rows, averages).withColumn(
         "_fecha_ingesta", C.day_literal(load_date)

@@ -60,10 +60,23 @@ def unique(rows: DataFrame, dataset: str) -> DataFrame:
     return keep_first(rows, S.KEYS[dataset], (S.AGE_COLUMN[dataset],))
 
 
+def known(raw: DataFrame, dataset: str) -> DataFrame:
+    """Typed rows of a known category; transactions have all."""
+    rows = typed(raw, dataset)
+    if dataset == "proveedores":
+        return rows.where(F.col("tipo_energia").isin(*S.ENERGY_TYPES))
+    if dataset == "clientes":
+        return rows.where(F.col("tipo_identificacion").isin(*S.ID_TYPES))
+    return rows
+
+
 def normalize_suppliers(raw: DataFrame, load_date: str | date) -> DataFrame:
     """Suppliers of the known energy types, one per name."""
-    known = typed(raw, "proveedores").where(F.col("tipo_energia").isin(*S.ENERGY_TYPES))
-    return unique(known, "proveedores").select(
+    return finished_suppliers(known(raw, "proveedores"), load_date)
+
+
+def finished_suppliers(rows: DataFrame, load_date: str | date) -> DataFrame:
+    return unique(rows, "proveedores").select(
         "*",
         C.day_literal(load_date).alias("_fecha_ingesta"),
         F.lit(S.SUPPLIER_SOURCE).alias("_fuente"),
@@ -75,9 +88,12 @@ def normalize_customers(raw: DataFrame, load_date: str | date, as_of: str | date
 
     ``as_of`` is the day to which the tenure in days is counted.
     """
-    known = typed(raw, "clientes").where(F.col("tipo_identificacion").isin(*S.ID_TYPES))
+    return finished_customers(known(raw, "clientes"), load_date, as_of)
+
+
+def finished_customers(rows: DataFrame, load_date: str | date, as_of: str | date) -> DataFrame:
     tenure = C.days_between(F.col("fecha_vinculacion"), C.day_literal(as_of))
-    return unique(known, "clientes").select(
+    return unique(rows, "clientes").select(
         "*",
         tenure.cast("bigint").alias("antiguedad_dias"),
         C.masked(F.col("identificacion")).alias("identificacion_enmascarada"),

@@ -81,6 +81,35 @@ def daily_summary_view(facts: DataFrame) -> DataFrame:
     )
 
 
+# The same two views over the stored tables of a database, for readers of SQL.
+VIEWS = {
+    "v_margen_energia": f"""
+        SELECT tipo_energia, precio_compra_kwh, precio_venta_kwh,
+            CAST(round(precio_venta_kwh - precio_compra_kwh, 4) AS decimal(13,4)) AS margen_cop_kwh,
+            CAST(round(try_divide(precio_venta_kwh - precio_compra_kwh, precio_compra_kwh) * 100, 2)
+                AS decimal(20,2)) AS margen_pct,
+            kwh_comprado, kwh_vendido, _fecha_ingesta
+        FROM (SELECT tipo_energia, _fecha_ingesta, precio_promedio_kwh AS precio_compra_kwh,
+                total_kwh AS kwh_comprado
+            FROM {{db}}.agg_metricas_energia WHERE tipo_transaccion = '{S.BUY}')
+        JOIN (SELECT tipo_energia, _fecha_ingesta, precio_promedio_kwh AS precio_venta_kwh,
+                total_kwh AS kwh_vendido
+            FROM {{db}}.agg_metricas_energia WHERE tipo_transaccion = '{S.SELL}')
+        USING (tipo_energia, _fecha_ingesta)
+    """,
+    "v_resumen_diario": f"""
+        SELECT fecha_transaccion, tipo_energia, tipo_transaccion,
+            count(*) AS num_transacciones, sum(cantidad_kwh) AS total_kwh,
+            sum(valor_total_cop) AS total_cop,
+            CAST(round(avg(precio_cop_kwh), 4) AS decimal(12,4)) AS precio_promedio
+        FROM {{db}}.fact_transacciones WHERE estado = '{S.DONE}'
+        GROUP BY fecha_transaccion, tipo_energia, tipo_transaccion
+        ORDER BY fecha_transaccion DESC NULLS LAST, tipo_energia NULLS LAST,
+            tipo_transaccion NULLS LAST
+    """,
+}
+
+
 def analyst_customers(customers: DataFrame) -> DataFrame:
     """Customers without the full identification."""
     return customers.drop("identificacion")

@@ -6,30 +6,35 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voltalake import schemas as S
 from voltalake.plans.analytics import REGISTRY
 from voltalake.plans.warehouse import analyst_customers
+from voltalake.sources import storage
 
 # Datasets and partition columns of each zone.
 ZONES = {
-    "raw": (tuple(S.RAW_COLUMNS), ("fecha",)),
+    "raw": (tuple(S.RAW_COLUMNS), ("fecha", "lote", "carga")),
     "processed": (tuple(S.PROCESSED), S.DAY_PARTITION),
     "curated": (tuple(REGISTRY), ()),
 }
+# Table property: the last change of a partition's folder that a refresh has seen.
+SEEN = "voltalake.visto"
+STATEMENT = 500
 STATUS = "zona string, tabla string, columnas int, particiones bigint, estado string"
 
 
 def refresh(
-    spark: SparkSession, root: str, database: str, zone: str = "all"
+    spark: SparkSession, root: str, database: str, zone: str = "all", again: bool = False
 ) -> DataFrame:
     """Bring the catalog up to date with the folders ``root/zone``, of one or all.
 
-    New tables, partitions and columns are added; nothing is removed. The
-    tables of a zone are in ``<database>_<zone>``. Returns one status row per
-    table; a folder that is not there is ``FAILED`` and stops nothing. Raw
-    tables find their partitions through the log of the ingest when they are
-    read, so the catalog holds none of them.
+    New tables, partitions and columns are added, and partitions whose folder is gone
+    go. Folders are listed; file footers are read only in those that are new or have
+    changed since the last refresh (``again``: in all, for stores whose folders have no
+    time of change). The tables of a zone are in ``<database>_<zone>``. Returns one
+    status row per table; a folder that is not there is ``FAILED`` and stops nothing.
     """
     if zone != "all" and zone not in ZONES:
         raise ValueError(f"unknown zone {zone!r}; choose from {[*ZONES, 'all']}")
@@ -42,32 +47,98 @@ def refresh(
         for dataset in datasets:
             status.append(
                 (name, dataset, *_refresh_table(
-                    spark, f"{database}_{name}.{dataset}", f"{root}/{name}/{dataset}", partitions
+                    spark, f"{database}_{name}.{dataset}", f"{root}/{name}/{dataset}",
+                    partitions, again,
                 ))
             )
     return spark.createDataFrame(status, STATUS)
 
 
+def _partition_folders(
+    spark: SparkSession, folder: str, partitions: tuple[str, ...]
+) -> dict[tuple[str, ...], int]:
+    """Values of all partitions under a folder, with the time of their last change."""
+    found: dict[tuple[str, ...], int] = {(): 0}
+    for key in partitions:
+        found = {
+            (*values, name.removeprefix(f"{key}=")): changed
+            for values in found
+            for name, changed in storage.folders(
+                spark, "/".join([folder, *_parts(partitions, values)])
+            ).items()
+            if name.startswith(f"{key}=")
+        }
+    return found
+
+
+def _parts(partitions: tuple[str, ...], values: tuple[str, ...]) -> list[str]:
+    return [f"{k}={v}" for k, v in zip(partitions, values)]
+
+
+def _columns_in(
+    spark: SparkSession, folders: list[str], partitions: tuple[str, ...]
+) -> dict[str, str]:
+    """Columns of the files in some folders, from their footers."""
+    found = spark.read.option("mergeSchema", "true").parquet(*folders)
+    return {f.name: f.dataType.simpleString() for f in found.schema if f.name not in partitions}
+
+
 def _refresh_table(
-    spark: SparkSession, table: str, folder: str, partitions: tuple[str, ...]
+    spark: SparkSession, table: str, folder: str, partitions: tuple[str, ...], again: bool
 ) -> tuple[int | None, int | None, str]:
+    known = spark.catalog.tableExists(table)
+    found = _partition_folders(spark, folder, partitions) if partitions else {}
+    seen = int(_property(spark, table) or -1) if known else -1
+    listed = _known_partitions(spark, table) if known and partitions else set()
+    new = [x for x in found if x not in listed]
+    changed = [x for x, at in found.items() if again or x not in listed or at > seen]
+    opened = ["/".join([folder, *_parts(partitions, x)]) for x in changed]
+    if not partitions or not known:
+        opened = opened or [folder]
     try:
-        found = spark.read.option("mergeSchema", "true").parquet(folder)
+        columns = _columns_in(spark, opened, partitions) if opened else {}
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        if not known:
             return None, None, "FAILED"
-        raise
-    columns = {f.name: f.dataType.simpleString() for f in found.schema if f.name not in partitions}
-    if spark.catalog.tableExists(table):
+        columns = {}
+    if known:
         _add_columns(spark, table, columns)
     else:
         spark.sql(_create_statement(table, folder, columns, partitions))
-    known = None
-    if any(column.isPartition for column in spark.catalog.listColumns(table)):
-        spark.catalog.recoverPartitions(table)
-        known = spark.sql(f"SHOW PARTITIONS {table}").count()
+    if partitions:
+        _partitions(spark, table, "ADD IF NOT EXISTS", partitions, new)
+        gone = sorted(listed - set(found))
+        _partitions(spark, table, "DROP IF EXISTS", partitions, gone)
+        newest = max([seen, *found.values()])
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{SEEN}' = '{newest}')")
     spark.catalog.refreshTable(table)
-    return len(spark.table(table).columns), known, "SUCCEEDED"
+    count = len(found) if partitions else None
+    return len(spark.table(table).columns), count, "SUCCEEDED"
+
+
+def _property(spark: SparkSession, table: str) -> str | None:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == SEEN)
+    return next((x["value"] for x in rows.collect()), None)
+
+
+def _known_partitions(spark: SparkSession, table: str) -> set[tuple[str, ...]]:
+    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    return {tuple(part.split("=", 1)[1] for part in x[0].split("/")) for x in rows}
+
+
+def _partitions(
+    spark: SparkSession, table: str, what: str, partitions: tuple[str, ...], values: list
+) -> None:
+    """Add or drop partitions, some hundred in a statement."""
+    for k in range(0, len(values), STATEMENT):
+        specs = [
+            "PARTITION (" + ", ".join(f"{c} = '{v}'" for c, v in zip(partitions, x)) + ")"
+            for x in values[k : k + STATEMENT]
+        ]
+        separator = " " if what.startswith("ADD") else ", "
+        spark.sql(f"ALTER TABLE {table} {what} {separator.join(specs)}")
 
 
 def _create_statement(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping
 from datetime import date
 
@@ -11,22 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltalake import schemas as S
-from voltalake.sources import layout
+from voltalake.sources import csv_files, layout, storage
+from voltalake.sources.csv_files import CSV_READ
 
-# Quotes are doubled inside quoted text; outer blanks are data.
-# enforceSchema=false: a header that names other columns is an error
-# instead of values in the wrong column. columnPruning=false: the shape of a
-# line is checked whichever columns a query needs.
-CSV_READ = {
-    "header": "true",
-    "escape": '"',
-    "enforceSchema": "false",
-    "columnPruning": "false",
-    "columnNameOfCorruptRecord": S.CORRUPT,
-}
-# ``land`` names its files so, which tells them from part files of other writers;
-# the write's id, which follows, is that of the landing.
-LANDED = "landing"
+# ``land`` names its files so, which tells them from part files of other writers. A
+# manifest beside them says which ones count; it comes last.
+LANDED = "carga"
+MANIFEST = ".manifiesto"
 CSV_WRITE = {
     "header": "true",
     "escape": '"',
@@ -48,16 +41,31 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 def scan_csv(
     spark: SparkSession, root: str, dataset: str, load_date: str | date | None = None
 ) -> DataFrame:
-    """Raw text rows of ``root/raw/dataset``: those of one load date, or all."""
+    """Raw text rows of ``root/raw/dataset``: those of one load date, or all.
+
+    Columns are mapped by the name in each file's header, and records may span
+    lines. Lines of a file with another header come in the corrupt-record column.
+    """
     folder = f"{root}/raw/{dataset}"
     if load_date is not None:
         folder = f"{folder}/{layout.as_path(layout.day_parts(load_date))}"
-    return (
-        spark.read.schema(S.raw_schema(dataset))
-        .options(**CSV_READ)
-        .option("recursiveFileLookup", "true")
-        .csv(folder)
-    )
+    return rows_of(spark, dataset, _data_files(csv_files.files_under(spark, folder)))
+
+
+def _data_files(paths: list[str]) -> list[str]:
+    return [x for x in paths if not x.endswith(MANIFEST)]
+
+
+def rows_of(spark: SparkSession, dataset: str, paths: list[str]) -> DataFrame:
+    """Raw text rows of some files, those of rejected files as corrupt records."""
+    found = csv_files.sort_files(spark, dataset, paths)
+    rows = csv_files.read_sorted(spark, dataset, found)
+    if not found.rejected:
+        return rows
+    lines = csv_files.lines_of(spark, found.rejected)
+    missing = [F.lit(None).cast("string").alias(x) for x in S.RAW_COLUMNS[dataset]]
+    text = F.coalesce("linea", F.concat_ws(": ", "ruta", "motivo")).alias(S.CORRUPT)
+    return rows.unionByName(lines.select(*missing, text))
 
 
 def land(
@@ -71,7 +79,9 @@ def land(
     """Write the three raw datasets as CSV into the landing layout.
 
     A source is a DataFrame or the path of a CSV; a missing one is reported
-    as ``omitido``. With ``dry_run`` nothing is written. Returns
+    as ``omitido``. Landing an hour again replaces it, also by no rows: the files
+    come first and then a manifest with their names and the number of rows, which
+    is what an ingest goes by. With ``dry_run`` nothing is written. Returns
     ``dataset, destino, filas, estado``.
     """
     results = []
@@ -85,31 +95,45 @@ def land(
             results.append((dataset, target, rows.count(), "simulado"))
         else:
             seen = Observation()
+            folder = f"{root}/raw/{dataset}/{layout.as_path(parts)}"
             (
                 rows.observe(seen, F.count(F.lit(1)).alias("filas"))
                 .write.mode("overwrite")
                 .options(**CSV_WRITE)
                 .option("mapreduce.output.basename", LANDED)
-                .csv(f"{root}/raw/{dataset}/{layout.as_path(parts)}")
+                .csv(folder)
             )
+            _declare(spark, folder, seen.get["filas"])
             results.append((dataset, target, seen.get["filas"], "ok"))
     return spark.createDataFrame(
         results, "dataset string, destino string, filas bigint, estado string"
     )
 
 
+def _declare(spark: SparkSession, folder: str, rows: int) -> None:
+    """Put the manifest of a landing into its folder."""
+    found = [x for x in storage.names(spark, folder) if x.startswith(f"{LANDED}-")]
+    name = uuid.uuid4().hex
+    manifest = {"id": name, "archivos": found, "filas": rows}
+    storage.write_text(spark, f"{folder}/{LANDED}-{name}{MANIFEST}", json.dumps(manifest))
+
+
 def _landing_source(
     source: DataFrame | str | None, spark: SparkSession, dataset: str
 ) -> DataFrame | None:
+    """Rows to land. A file that cannot be read is an error here, as nothing is taken yet."""
     if source is None or isinstance(source, DataFrame):
         return source
     try:
-        reader = spark.read.schema(S.raw_schema(dataset, corrupt=False))
-        return reader.options(**CSV_READ).csv(source)
+        paths = _data_files(csv_files.files_under(spark, source))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    found = csv_files.sort_files(spark, dataset, paths)
+    if found.rejected:
+        raise ValueError(f"{found.rejected[0].path}: {found.rejected[0].reason}")
+    return csv_files.read_sorted(spark, dataset, found).drop(S.CORRUPT)
 
 
 def write_processed(
@@ -131,6 +155,20 @@ def write_processed(
     return seen.get["filas"]
 
 
+def write_rejected(df: DataFrame, root: str, dataset: str, load_date: str | date) -> None:
+    """Keep the rejected raw rows of a load, with their reasons; a second run replaces them."""
+    place = layout.as_path(layout.day_parts(load_date))
+    df.write.mode("overwrite").parquet(f"{root}/rejected/{dataset}/{place}")
+
+
+def read_rejected(
+    spark: SparkSession, root: str, dataset: str, load_date: str | date
+) -> DataFrame:
+    place = layout.as_path(layout.day_parts(load_date))
+    schema = S.raw_schema(dataset).add("motivo", "string")
+    return spark.read.schema(schema).parquet(f"{root}/rejected/{dataset}/{place}")
+
+
 def read_processed(
     spark: SparkSession, root: str, dataset: str, load_date: str | date | None = None
 ) -> DataFrame:
