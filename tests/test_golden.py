@@ -24,7 +24,7 @@ def results(lake):
 
 
 def test_counts_of_the_load(lake):
-    assert dict(values(lake[1])) == {
+    assert dict(values(lake[1], "tabla", "filas")) == {
         "proveedores": 10, "clientes": 10, "transacciones": 15,
         "metricas_energia": 6, "metricas_segmento": 3,
     }
