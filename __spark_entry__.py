@@ -25,7 +25,7 @@ from voltalake.plans import analytics, daily, star, warehouse  # noqa: E402
 from voltalake.session import fresh_folder, ship, stage  # noqa: E402
 from voltalake.sources import catalog, files  # noqa: E402
 from voltalake.sources import warehouse as warehouse_tables  # noqa: E402
-from voltalake.streaming import ingest  # noqa: E402
+from voltalake.streaming import ingest, unique  # noqa: E402
 
 try:
     from voltalake.llm import queries as corpus
@@ -160,6 +160,19 @@ def ingest_cuarentena(spark: SparkSession, sf: str) -> DataFrame:
     return taken.unionByName(letters.groupBy("tabla", "motivo").agg(F.count(F.lit(1)).alias("lineas")))
 
 
+def stream_unique(spark: SparkSession, sf: str) -> DataFrame:
+    """Identifiers that a stream keeps of transactions of which a part is sent again."""
+    landing, root = fresh_folder(spark, "landing"), fresh_folder(spark, "lake")
+    checkpoint = fresh_folder(spark, "ingest")
+    rows = star.raw_transactions(spark, sf)
+    for hour, sent in ((8, rows), (9, rows.where("estado = 'completada'"))):
+        files.land({"transacciones": sent}, spark, landing, LOAD_DATE, hour)
+        ingest.ingest(spark, "transacciones", landing, root, checkpoint, LOAD_DATE)
+        unique.unique_rows(spark, root, "transacciones", f"{checkpoint}/unique")
+    kept = unique.read_unique(spark, root, "transacciones")
+    return kept.groupBy("id_transaccion").agg(F.count(F.lit(1)).alias("filas"))
+
+
 def landing_layout(spark: SparkSession, sf: str) -> DataFrame:
     root = fresh_folder(spark, "landing")
     return files.land(star.raw_datasets(spark, sf), spark, root, LOAD_DATE, "08")
@@ -442,6 +455,7 @@ def own_queries() -> dict[str, Query]:
         "ingest_stream": ingest_stream,
         "ingest_reordenado": ingest_reordenado,
         "ingest_cuarentena": ingest_cuarentena,
+        "stream_unique": stream_unique,
         "landing_layout": landing_layout,
         "catalog_refresh": catalog_refresh,
         "catalog_zones": catalog_zones,

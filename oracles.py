@@ -395,6 +395,8 @@ JOIN (VALUES ('processed', 'proveedores', 11, 1), ('processed', 'clientes', 13,
   ('processed', 'metricas_segmento', 11, 1), ('raw', 'proveedores', 13, 1),
   ('raw', 'clientes', 14, 1), ('raw', 'transacciones', 16, 1), ('curated', 'q7', 5, NULL)
 ) AS w(zona, tabla, columnas, particiones) USING (zona, tabla)""",
+    "stream_unique": _with(_RAW_TRANSACTIONS)
+    + "SELECT id_transaccion, CAST(1 AS BIGINT) AS filas FROM raw_t GROUP BY id_transaccion",
     "ingest_reordenado": _with(_RAW_SUPPLIERS) + "SELECT * FROM raw_p",
     "ingest_cuarentena": _with(_RAW_SUPPLIERS, _RAW_CUSTOMERS, _RAW_TRANSACTIONS)
     + """SELECT 'proveedores' AS tabla, 'ingerido' AS motivo, COUNT(*) AS lineas FROM raw_p

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import DATA, DAY, plan_of, values
 from voltalake import schemas as S
+from voltalake import session
 from voltalake.operators.normalize import normalize_customers, quarantine, readable
 from voltalake.session import fresh_folder, shared_folder, sizing, stage
 from voltalake.sources import files, layout
@@ -212,6 +213,16 @@ def test_staged_rows_are_files_in_the_shared_folder(spark):
     assert fresh_folder(spark, "s") != fresh_folder(spark, "s")
 
 
+def test_staging_frees_its_shuffles(spark):
+    before = spark.conf.get(session.SHUFFLE_CLEANUP)
+    inside = []
+    with session.freed_shuffles(spark):
+        inside.append(spark.conf.get(session.SHUFFLE_CLEANUP))
+    assert inside == ["true"] and spark.conf.get(session.SHUFFLE_CLEANUP) == before
+    rows = spark.range(100).repartition(3, "id")
+    assert stage(rows, "s").count() == 100 and rows.count() == 100
+
+
 def test_sizing_follows_the_input():
     def tasks(size):
         return int(sizing(size)["spark.sql.shuffle.partitions"])

@@ -1,0 +1,38 @@
+import shutil
+
+from conftest import DATA, DAY, values
+from voltalake.sources import files
+from voltalake.streaming import ingest, unique
+
+
+def test_a_file_sent_again_adds_nothing(spark, sample, tmp_path):
+    landing, root, marks = (str(tmp_path / n) for n in ("in", "lake", "marks"))
+    files.land({"clientes": sample["clientes"].limit(6)}, spark, landing, DAY)
+
+    def run():
+        ingest.ingest(spark, "clientes", landing, root, marks, DAY)
+        return tuple(unique.unique_rows(spark, root, "clientes", f"{marks}/unique").first())
+
+    assert run() == (6, 0, 0)
+    shutil.copy(DATA / "clientes.csv", tmp_path / "in" / "clientes.csv")
+    folder = tmp_path / "in" / "raw" / "clientes"
+    shutil.copy(DATA / "clientes.csv", folder / "otra_vez.csv")
+    (folder / "roto.csv").write_text((DATA / "clientes.csv").read_text().split("\n")[0] + "\na,b\n")
+    read, repeated, late = run()
+    # The scan itself may leave out the line of the wrong shape.
+    assert read in (20, 21) and (repeated, late) == (16, 0)
+    assert run() == (0, 0, 0)
+    rows = unique.read_unique(spark, root, "clientes")
+    keys = values(rows, "tipo_identificacion", "identificacion")
+    assert len(keys) == len(set(keys)) == 10
+    assert unique.missed(spark, root, "clientes").isEmpty()
+
+
+def test_rows_that_the_stream_does_not_have_are_named(spark, sample, tmp_path):
+    landing, root, marks = (str(tmp_path / n) for n in ("in", "lake", "marks"))
+    files.land({"proveedores": sample["proveedores"].limit(4)}, spark, landing, DAY)
+    ingest.ingest(spark, "proveedores", landing, root, marks, DAY)
+    unique.unique_rows(spark, root, "proveedores", f"{marks}/unique")
+    files.land({"proveedores": sample["proveedores"]}, spark, landing, DAY, 5)
+    ingest.ingest(spark, "proveedores", landing, root, marks, DAY)
+    assert unique.missed(spark, root, "proveedores").count() == 6

@@ -118,18 +118,29 @@ def margins(transactions: DataFrame) -> DataFrame:
 
     Both sides come out of one pass; an energy type needs deals on both.
     """
-    bought, sold = _is("tipo_transaccion", S.BUY), _is("tipo_transaccion", S.SELL)
+    kind = "tipo_transaccion"
+    bought, sold = _is(kind, S.BUY), _is(kind, S.SELL)
     gain = F.col("precio_venta") - F.col("precio_compra")
-    return (
+
+    def side(of: Column, value: str) -> Column:
+        return F.max(F.when(of, F.col(value)))
+
+    # Sums by energy and side, so that each value is split and added once; then at
+    # most two rows for an energy type meet.
+    by_side = (
         transactions.where(
             _is("estado", S.DONE) & (bought | sold) & F.col("tipo_energia").isNotNull()
         )
-        .groupBy("tipo_energia")
+        .groupBy("tipo_energia", kind)
+        .agg(F.round(exact_avg(F.col(_PRICE)), 4).alias("precio"), exact_sum(F.col(_KWH)).alias("kwh"))
+    )
+    return (
+        by_side.groupBy("tipo_energia")
         .agg(
-            F.round(exact_avg(F.when(bought, F.col(_PRICE))), 4).alias("precio_compra"),
-            F.round(exact_avg(F.when(sold, F.col(_PRICE))), 4).alias("precio_venta"),
-            exact_sum(F.when(bought, F.col(_KWH))).alias("kwh_comprado"),
-            exact_sum(F.when(sold, F.col(_KWH))).alias("kwh_vendido"),
+            side(bought, "precio").alias("precio_compra"),
+            side(sold, "precio").alias("precio_venta"),
+            side(bought, "kwh").alias("kwh_comprado"),
+            side(sold, "kwh").alias("kwh_vendido"),
             F.count_if(bought).alias("_buys"),
             F.count_if(sold).alias("_sells"),
         )

@@ -22,6 +22,8 @@ SETTINGS = {
 }
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # A shuffle task takes this much of the input. Beyond the highest number of
 # tasks the many small blocks of a shuffle cost more than tasks that spill.
 TASK_BYTES = 256 * 1024 * 1024
@@ -82,10 +84,26 @@ def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{folder}/{name}" if folder else fresh_folder(spark, name)
-    df.write.parquet(path)
+    with freed_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Drop the shuffle files of each query inside as soon as it has ended.
+
+    Otherwise they stay on the executors' disks until the driver happens to collect
+    its garbage. What a query has written needs them no more.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 @contextmanager
 def work_folder(spark: SparkSession, name: str) -> Iterator[str]:
     """A fresh folder for the staged rows of one job, dropped at its end."""
