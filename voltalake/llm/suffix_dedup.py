@@ -9,18 +9,22 @@ with a smaller id goes. Texts are taken as UTF-8 bytes and judged as they came.
 2. *Dictionary.* Equal phrases meet by their hash. All but the one in the
    smallest document are repeats as a whole, and only distinct phrases go on:
    highly repetitive text costs one row for each phrase.
-3. *Candidates.* In distinct phrases each string of ``MATCH`` bytes is known by
-   its least hashed gram of ``GRAM`` bytes. Only strings whose gram occurs in
-   several documents can repeat; neighbours with one gram travel together.
-4. *Order.* What shares a gram is put in order by content, that is, in the order
-   of the dictionary's suffixes as far as they can matter, with ``MATCH`` bytes
-   in common or not; equal strings stand together and the parse gives each its
-   document. All but those in the smallest document are repeats.
-
-The order is by 64-bit hashes of the strings rather than by their bytes: only
-whether two suffixes agree in ``MATCH`` bytes is asked, never which is smaller.
-A gram or string that very many documents share is combined by each task before
-it is shuffled, and beyond ``HOT`` rows its strings are dealt out one by one.
+3. *Candidates.* In distinct phrases each string of ``MATCH`` bytes, that is each
+   suffix of a phrase cut to that length, is known by its least hashed gram of
+   ``GRAM`` bytes. Neighbours with one gram are a piece, a phrase in small: equal
+   pieces meet by their hash, and only distinct ones go on, if their gram occurs in
+   another content too.
+4. *Order.* The suffixes are put in order so that equal ones stand together, first
+   by each task, which keeps only those in its smallest document, then by a shuffle
+   of those. The parse gives each its document; all but those in the smallest are
+   repeats.
+
+The order is by 64-bit hashes of the cut suffixes rather than by their bytes: only
+whether two suffixes agree in ``MATCH`` bytes is asked, never which is smaller, and
+their bytes would be six times as much to shuffle. So the suffix array of dictionary
+and parse is there as an order of those suffixes that matter; it is not stored.
+A phrase, gram or string that very many documents share reaches its key's task once
+for each million strings of a task.
 
 Null and empty texts have nothing to remove. Rows with a null id are never
 matched and stay whole. Rows that repeat an id must repeat the text too; they
@@ -31,13 +35,15 @@ do not match each other and get equal results. Other columns pass through
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-from typing import Any, NamedTuple
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from voltalake.llm.text import (
     K1,
@@ -55,13 +61,13 @@ from voltalake.llm.text import (
 from voltalake.session import stage
 
 MATCH = 50
-GRAM = 16
+GRAM = 24  # a multiple of 8
 PHRASE = 128  # mean length
-HOT = 2000
-CHUNK = 20_000  # rows a task puts in order at a time, and the rest of the last key
-KEYS = "key long, doc_id long, shared boolean, sure boolean"
-FOUND = "doc_id long, key long, first long, last long, content binary"
-RUNS = "doc_id long, first long, last long"
+CHUNK = 1_000_000  # keys or strings a task puts in order at a time
+SLICE = 500  # documents cut at a time
+KEYS = "key long, content long, doc_id long, state byte"
+STRINGS = "key long, doc_id long, first int, last int"
+SHARED, SURE = 1, 2  # states of keys
 RESULT = (
     "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 )
@@ -127,7 +133,9 @@ def parse(of: list[bytes]) -> Parse:
     starts = np.arange(len(text)) + np.repeat(first - (np.cumsum(n) - n), n)
     words = _words(data)
     rolled = mixed(words)
-    grams = mixed(rolled[: len(words) - 8] * K2 + words[8:])
+    grams = rolled[: len(data) - GRAM + 1]
+    for k in range(8, GRAM, 8):
+        grams = mixed(grams * K2 + words[k : k + len(grams)])
     gram = _least(grams, MATCH - GRAM + 1)[starts]
     opens = rolled[starts] >> np.uint64(40) & np.uint64(PHRASE - 1) == 0
     opens[0] = True
@@ -140,87 +148,141 @@ def parse(of: list[bytes]) -> Parse:
 
 
 def _phrase_key(x: np.ndarray) -> np.ndarray:
-    return (x & ~np.uint64(1)).view(np.int64)
+    return (x & ~np.uint64(3)).view(np.int64)
+
+
+def _piece_key(x: np.ndarray) -> np.ndarray:
+    return (x & ~np.uint64(3) | np.uint64(2)).view(np.int64)
 
 
 def _gram_key(x: np.ndarray) -> np.ndarray:
     return (x | np.uint64(1)).view(np.int64)
 
 
-def _begin(*columns: np.ndarray) -> np.ndarray:
-    """Where any of the columns changes."""
+class Pieces(NamedTuple):
+    """Neighbouring strings of a phrase with one gram."""
+
+    first: np.ndarray  # number of the first string
+    sizes: np.ndarray
+    gram: np.ndarray  # keys
+    content: np.ndarray
+
+
+def pieces(found: Parse, sums: np.ndarray) -> Pieces:
+    first = _begin(found.phrase, found.gram)
+    ends = np.append(first[1:], len(found.starts))
+    content = _hashed(sums, found.starts[first], found.starts[ends - 1] + MATCH)
+    return Pieces(first, ends - first, _gram_key(found.gram[first]), _piece_key(content))
+
+
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """Whether any of the columns changes."""
     flag = np.zeros(len(columns[0]), bool)
     flag[:1] = True
     for x in columns:
         flag[1:] |= x[1:] != x[:-1]
-    return np.flatnonzero(flag)
+    return flag
+
+
+def _begin(*columns: np.ndarray) -> np.ndarray:
+    """Where any of the columns changes."""
+    return np.flatnonzero(_heads(*columns))
 
 
-def _keys(batch: Batch) -> Batch:
+def _keys(batches: Iterator[Batch]) -> Iterator[Batch]:
     """Phrases and grams of each document; of equal ones only the first asks.
 
-    Of a key in several documents of the batch, the smallest document's row is
-    shuffled by key, marked as shared; the others' fate is sure.
+    A gram comes with the content of its piece. Of equal phrases or pieces at hand
+    the smallest document's row is shuffled; the others are sure repeats. A gram of
+    several contents in several documents is marked as shared.
     """
-    ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
-    keys, docs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    at = 0
-    for of in portions(texts(batch)):
-        found = parse(of)
-        own = ids[at : at + len(of)]
-        at += len(of)
-        runs = _begin(found.gram, found.text)
-        keys += [_phrase_key(found.keys), _gram_key(found.gram[runs])]
-        docs += [own[found.text[found.opens]], own[found.text[runs]]]
-    key, doc = np.concatenate(keys), np.concatenate(docs)
-    order = np.lexsort((doc, key))
-    key, doc = key[order], doc[order]
-    rows = _begin(key, doc)
-    key, doc = key[rows], doc[rows]
+    rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
+        at = 0
+        for of in portions(_each(batch.column("text"))):
+            found = parse(of)
+            own = ids[at : at + len(of)]
+            at += len(of)
+            if not len(found.starts):
+                continue
+            cut = pieces(found, _sums(found.data))
+            phrase = _phrase_key(found.keys)
+            rows.append((phrase, np.zeros(len(phrase), np.int64), own[found.text[found.opens]]))
+            rows.append((cut.gram, cut.content, own[found.text[cut.first]]))
+            size += len(phrase) + len(cut.gram)
+            if size >= CHUNK:
+                yield _asked(rows)
+                rows, size = [], 0
+    if rows:
+        yield _asked(rows)
+
+
+def _each(column: pa.Array) -> Iterator[bytes]:
+    """UTF-8 bytes of texts, one at a time; null counts as empty."""
+    for x in column:
+        yield (x.as_py() or "").encode()
+
+
+def _asked(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Batch:
+    """Keys of some documents by ``KEYS``."""
+    key, content, doc = map(np.concatenate, zip(*rows, strict=True))
+    order = np.lexsort((doc, content, key))
+    key, content, doc = key[order], content[order], doc[order]
+    rows = _heads(key, content, doc)
+    key, content, doc = key[rows], content[rows], doc[rows]
+    first = _heads(key, content)
     heads = _begin(key)
-    sure = np.ones(len(key), bool)
-    sure[heads] = False
-    shared = np.diff(np.append(heads, len(key))) > 1
-    shared = np.repeat(shared, np.diff(np.append(heads, len(key))))
-    return pa.record_batch(list(map(pa.array, (key, doc, shared, sure))), _names(KEYS))
+    sizes = np.diff(np.append(heads, len(key)))
+    least = doc[first][np.cumsum(first) - 1]  # of the same content
+    apart = (content != np.repeat(content[heads], sizes)) & (least != np.repeat(doc[heads], sizes))
+    shared = np.repeat(np.maximum.reduceat(apart, heads), sizes) if len(heads) else apart
+    repeat = ~first
+    key[repeat & (content != 0)] = content[repeat & (content != 0)]
+    state = (shared * SHARED + repeat * SURE).astype(np.int8)
+    columns = (key, content, doc, state)
+    return pa.record_batch(list(map(pa.array, columns)), _names(KEYS))
 
 
 def _names(schema: str) -> list[str]:
     return [x.split(" ")[0] for x in schema.split(", ")]
 
 
-def _grouped(batches: Iterator[Batch], rows: int = 0) -> Iterator[pa.Table]:
-    """Sorted rows in tables that never part a key; ``rows`` is their least size."""
-    held: list[Any] = []
-    size = 0
+def _grouped(batches: Iterator[Batch]) -> Iterator[pa.Table]:
+    """Sorted rows in tables that never part a key."""
+    held: list[Batch] = []
     for batch in batches:
-        held.append(batch)
-        size += batch.num_rows
-        if size < rows or not size:
+        if not batch.num_rows:
             continue
+        held.append(batch)
         table = pa.Table.from_batches(held).combine_chunks()
         key = table.column("key").to_numpy()
         cut = int(np.searchsorted(key, key[-1]))
         if cut:
             yield table.slice(0, cut)
         held = table.slice(cut).to_batches()
-        size = table.num_rows - cut
-    if size:
+    if held:
         yield pa.Table.from_batches(held).combine_chunks()
 
 
 def _settled(batches: Iterator[Batch]) -> Iterator[Batch]:
-    """(doc_id, key) of phrases that a smaller document has, and of grams that
-    another document has. A key has a row for each task and batch at most, but
-    for those that are sure already."""
+    """(doc_id, key) of phrases and pieces that a smaller document has, and of grams
+    with several contents in several documents. A content has a row for each task and
+    batch at most, but for those that are sure already."""
     for table in _grouped(batches):
-        key, doc, shared, sure = (table.column(k).to_numpy() for k in _names(KEYS))
+        key, content, doc, state = (table.column(k).to_numpy() for k in _names(KEYS))
+        shared, sure = state & SHARED > 0, state & SURE > 0
         heads = _begin(key)
         sizes = np.diff(np.append(heads, len(key)))
-        is_gram = key & 1 == 1
-        other = doc > np.repeat(doc[heads], sizes)
-        several = np.maximum.reduceat(shared | other, heads)
-        out = sure | np.where(is_gram, np.repeat(several, sizes), other)
+        first = _heads(key, content)
+        least = doc[first][np.cumsum(first) - 1]
+        apart = content != np.repeat(content[heads], sizes)
+        apart &= least != np.repeat(doc[heads], sizes)
+        several = np.repeat(np.maximum.reduceat(shared | apart, heads), sizes)
+        repeat = sure | (doc > least)
+        out = repeat | several & (key & 1 == 1)
+        key = np.where(repeat & ~sure & (content != 0), content, key)
         yield pa.record_batch([pa.array(doc[out]), pa.array(key[out])], ["doc_id", "key"])
 
 
@@ -229,141 +291,161 @@ def _own(text: np.ndarray, key: np.ndarray) -> np.ndarray:
     return mixed(key.view(np.uint64) + text.astype(np.uint64) * K2)
 
 
-def _candidates(batch: Batch) -> Batch:
-    """Runs of strings that are repeats with their phrase (no content), and runs
-    with a shared gram, with the bytes that they cover."""
-    ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
-    lists = batch.column("keys")
-    doc_out, key_out, first_out, last_out, content = [], [], [], [], []
-    at = 0
-    for of in portions(unpacked(batch)):
-        found = parse(of)
-        listed = lists.slice(at, len(of))
-        owner = np.repeat(np.arange(len(of)), listed.value_lengths().to_numpy(False))
-        allowed = _own(owner, listed.flatten().to_numpy(False))
-        own = ids[at : at + len(of)]
-        at += len(of)
-        if not len(found.starts):
-            continue
-        repeats = np.isin(_own(found.text[found.opens], _phrase_key(found.keys)), allowed)
-        whole = repeats[found.phrase]
-        runs = _begin(found.text, whole, np.where(whole, np.uint64(0), found.gram))
-        ends = np.append(runs[1:], len(found.starts))
-        key = _gram_key(found.gram[runs])
-        wanted = whole[runs] | np.isin(_own(found.text[runs], key), allowed)
-        runs, ends, key = runs[wanted], ends[wanted], key[wanted]
-        text = found.text[runs]
-        begin = found.starts[runs]
-        stop = found.starts[ends - 1] + 1
-        doc_out.append(own[text])
-        key_out.append(key)
-        first_out.append(begin - found.first[text])
-        last_out.append(stop - found.first[text])
-        content += [
-            None if w else found.data[a : b + MATCH - 1]
-            for w, a, b in zip(
-                whole[runs].tolist(), begin.tolist(), stop.tolist(), strict=True
-            )
-        ]
-    none = [np.zeros(0, np.int64)]
-    columns = [np.concatenate(none + x) for x in (doc_out, key_out, first_out, last_out)]
-    return pa.record_batch(
-        [*map(pa.array, columns), pa.array(content, pa.binary())], _names(FOUND)
-    )
+def _runs(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Adjoining places of a document as (doc, first, last), the last not included."""
+    order = np.lexsort((place, doc))
+    doc, place = doc[order], place[order]
+    heads = _begin(doc, place - np.arange(len(place)))
+    ends = np.append(heads[1:], len(place))
+    return doc[heads], place[heads], place[ends - 1] + 1 if len(place) else place
+
 
+class _Suffixes:
+    """Strings of a task that wait to be put in order, in arrays of bounded size."""
 
-def _strings(table: pa.Table | Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all strings in the contents: their row, place in the document, and hash."""
-    data = b"".join(table.column("content").to_pylist())
-    n = table.column("last").to_numpy() - table.column("first").to_numpy()
-    row = np.repeat(np.arange(len(n)), n)
-    inside = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    sizes = n + MATCH - 1
-    starts = np.repeat(np.cumsum(sizes) - sizes, n) + inside
-    place = np.repeat(table.column("first").to_numpy(), n) + inside
-    return row, place, _hashed(_sums(data), starts, starts + MATCH)
+    def __init__(self) -> None:
+        self.clear()
 
+    def clear(self) -> None:
+        self.whole: list[tuple[np.ndarray, ...]] = []
+        self.open: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
 
-def _ordered(batches: Iterator[Batch]) -> Iterator[Batch]:
-    """Runs of strings that a smaller document has too, gram by gram."""
-    for table in _grouped(batches, CHUNK):
-        row, place, key = _strings(table)
-        doc = table.column("doc_id").to_numpy()[row]
+    def add(self, ids: np.ndarray, found: Parse, allowed: np.ndarray) -> None:
+        """Strings of a portion: those of phrases and pieces that a smaller document has
+        are repeats; of the others those wait whose gram is shared."""
+        sums = _sums(found.data)
+        cut = pieces(found, sums)
+        text = found.text[cut.first]
+        repeats = np.isin(_own(found.text[found.opens], _phrase_key(found.keys)), allowed)
+        repeats = repeats[found.phrase[cut.first]] | np.isin(_own(text, cut.content), allowed)
+        shared = ~repeats & np.isin(_own(text, cut.gram), allowed)
+        whole = np.repeat(repeats, cut.sizes)
+        doc, place = ids[found.text], found.starts - found.first[found.text]
+        self.whole.append(_runs(doc[whole], place[whole]))
+        shared = np.repeat(shared, cut.sizes)
+        starts = found.starts[shared]
+        key = _hashed(sums, starts, starts + MATCH)
+        self.open.append((key.view(np.int64), doc[shared], place[shared]))
+        self.size += len(starts)
+
+    def take(self) -> Batch:
+        """All of them by ``STRINGS``: of equal strings those that are not in the smallest
+        document here are sure repeats, and only the others ask elsewhere."""
+        none = np.zeros(0, np.int64)
+        key, doc, place = map(np.concatenate, zip((none,) * 3, *self.open, strict=True))
         order = np.lexsort((doc, key))
         heads = _begin(key[order])
         least = np.repeat(doc[order][heads], np.diff(np.append(heads, len(order))))
-        repeat = np.zeros(len(order), bool)
-        repeat[order] = doc[order] > least
-        row, place, doc = row[repeat], place[repeat], doc[repeat]
-        runs = _begin(row, place - np.arange(len(place)))
-        ends = np.append(runs[1:], len(place)) - 1
-        columns = (doc[runs], place[runs], place[ends] + 1 if len(runs) else place[:0])
-        yield pa.record_batch(list(map(pa.array, columns)), _names(RUNS))
-
-
-def _dealt(batch: Batch) -> Batch:
-    """A row for each string of a hot gram."""
-    row, place, key = _strings(batch)
-    doc = batch.column("doc_id").to_numpy()[row]
-    columns = (key.view(np.int64), doc, place)
-    return pa.record_batch(list(map(pa.array, columns)), ["key", "doc_id", "first"])
+        sure = np.zeros(len(order), bool)
+        sure[order] = doc[order] > least
+        runs = [*self.whole, _runs(doc[sure], place[sure])]
+        done, first, last = map(np.concatenate, zip((none,) * 3, *runs, strict=True))
+        key, doc, place = key[~sure], doc[~sure], place[~sure]
+        self.clear()
+        # Sure ones are dealt out too, by a number of their own, and have an end.
+        mark = _own(first, done).view(np.int64)
+        last = np.append(last, np.zeros(len(key), np.int64))
+        return pa.record_batch(
+            [
+                pa.array(np.append(mark, key)),
+                pa.array(np.append(done, doc)),
+                pa.array(np.append(first, place).astype(np.int32)),
+                pa.array(last.astype(np.int32), mask=np.arange(len(last)) >= len(mark)),
+            ],
+            _names(STRINGS),
+        )
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, first, last): runs of starts of strings that a smaller document has."""
+def _candidates(batches: Iterator[Batch]) -> Iterator[Batch]:
+    """The strings of documents with the phrases and grams that they are to look for."""
+    held = _Suffixes()
+    for batch in batches:
+        batch = batch.filter(batch.column("keys").is_valid())
+        ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
+        lists = batch.column("keys")
+        at = 0
+        coder = zstandard.ZstdDecompressor()
+        for of in portions(coder.decompress(x.as_py()) for x in batch.column("packed")):
+            found = parse(of)
+            listed = lists.slice(at, len(of))
+            owner = np.repeat(np.arange(len(of)), listed.value_lengths().to_numpy(False))
+            allowed = _own(owner, listed.flatten().to_numpy(False))
+            own = ids[at : at + len(of)]
+            at += len(of)
+            if len(found.starts):
+                held.add(own, found, allowed)
+            if held.size >= CHUNK:
+                yield held.take()
+    yield held.take()
+
+
+def repeats(docs: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """(doc_id, first, last): runs of starts of strings that a smaller document has.
+
+    ``carried`` are the documents with ``packed`` texts, if the caller has them too:
+    both joins by id then use one shuffle of them.
+    """
+    carried = packed(docs) if carried is None else carried
     docs = docs.filter("doc_id is not null").select("doc_id", "text")
-    keys = map_batches(docs, KEYS, _keys)
-    dealt = keys.repartition(F.when(F.col("sure"), F.col("doc_id")).otherwise(F.col("key")))
-    settled = dealt.sortWithinPartitions("key", "doc_id").mapInArrow(
+    keys = docs.mapInArrow(_keys, KEYS)
+    sure = F.col("state").bitwiseAND(F.lit(SURE)) > 0
+    dealt = keys.repartition(F.when(sure, F.col("doc_id")).otherwise(F.col("key")))
+    settled = dealt.sortWithinPartitions("key", "content", "doc_id").mapInArrow(
         _settled, "doc_id long, key long"
     )
     # A document has at most one key for each of its bytes.
-    listed = settled.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
-    found = stage(
-        map_batches(packed(docs).join(listed, "doc_id"), FOUND, _candidates), "candidates"
-    )
-    whole = found.filter("content is null").select("doc_id", "first", "last")
-    parts = found.filter("content is not null")
-    hot = parts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT)
-    hot = stage(hot.select("key"), "hot-grams")
-    cold = parts.join(hot, "key", "left_anti").repartition("key").sortWithinPartitions("key")
-    by_gram = cold.mapInArrow(_ordered, RUNS)
-    strings = map_batches(
-        parts.join(hot, "key", "left_semi"), "key long, doc_id long, first long", _dealt
-    )
-    least = strings.groupBy("key").agg(F.min("doc_id").alias("least"))
-    by_string = strings.join(least, "key").filter("doc_id > least").select(
-        "doc_id", "first", (F.col("first") + 1).alias("last")
+    listed = stage(settled.groupBy("doc_id").agg(F.collect_set("key").alias("keys")), "keys")
+    strings = carried.join(listed, "doc_id", "left").mapInArrow(_candidates, STRINGS)
+    placed = strings.withColumn("least", F.min("doc_id").over(Window.partitionBy("key")))
+    return placed.filter("last is not null or doc_id > least").select(
+        "doc_id", "first", F.coalesce("last", F.col("first") + 1).alias("last")
     )
-    return whole.unionByName(by_gram).unionByName(by_string)
 
 
-def _cut(text: bytes, runs: list[dict[str, int]]) -> tuple[int, int, bytes]:
+def _cut(text: bytes, first: np.ndarray, last: np.ndarray) -> tuple[int, int, bytes]:
     """Removed bytes, maximal runs of them, and what is left."""
-    if not runs:
+    if not len(first):
         return 0, 0, text
     edges = np.zeros(len(text) + 1, np.int64)
-    first = np.array([x["first"] for x in runs])
-    last = np.array([x["last"] for x in runs]) + MATCH - 1
     np.add.at(edges, np.minimum(first, len(text)), 1)
-    np.add.at(edges, np.minimum(last, len(text)), -1)
+    np.add.at(edges, np.minimum(last + MATCH - 1, len(text)), -1)
     gone = np.cumsum(edges[:-1]) > 0
     spans = int(np.diff(gone.astype(np.int8), prepend=0).clip(0).sum())
     return int(gone.sum()), spans, np.frombuffer(text, np.uint8)[~gone].tobytes()
 
 
+def _all_cut(batch: Batch) -> Iterator[tuple[bytes, tuple[int, int, bytes]]]:
+    """Each text of the batch, and what ``_cut`` makes of it."""
+    runs = batch.column("runs")
+    sizes = np.append(0, np.cumsum(runs.value_lengths().fill_null(0).to_numpy(False)))
+    items = runs.flatten()
+    first, last = (items.field(k).to_numpy(False) for k in (0, 1))
+    for k, text in enumerate(unpacked(batch)):
+        part = slice(sizes[k], sizes[k + 1])
+        yield text, _cut(text, first[part], last[part])
+
+
+def _in_slices(function: Callable[[Batch], Batch]) -> Callable:
+    """The function on some documents at a time, as what it gives is held with what it got."""
+
+    def run(batches: Iterator[Batch]) -> Iterator[Batch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, SLICE):
+                yield function(batch.slice(k, SLICE))
+
+    return run
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
     """A row for each document: bytes, removed bytes, spans, and what is kept."""
-    listed = repeats(docs).groupBy("doc_id").agg(
+    carried = packed(docs)
+    listed = repeats(docs, carried).groupBy("doc_id").agg(
         F.collect_list(F.struct("first", "last")).alias("runs")
     )
 
     def cut(batch: Batch) -> Batch:
-        of = unpacked(batch)
-        rows = [
-            _cut(x, runs or [])
-            for x, runs in zip(of, batch.column("runs").to_pylist(), strict=True)
-        ]
+        of, rows = zip(*_all_cut(batch), strict=True)
         return pa.record_batch(
             [
                 batch.column("doc_id"),
@@ -376,8 +458,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             _names(RESULT),
         )
 
-    joined = packed(docs).join(listed, "doc_id", "left").select("doc_id", "packed", "runs")
-    return map_batches(joined, RESULT, cut)
+    joined = carried.join(listed, "doc_id", "left").select("doc_id", "packed", "runs")
+    return joined.mapInArrow(_in_slices(cut), RESULT)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -385,9 +467,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     A character that a cut leaves in part goes whole.
     """
-    listed = repeats(docs).groupBy("doc_id").agg(
-        F.collect_list(F.struct("first", "last")).alias("runs")
-    )
     # The columns travel as one, so that none of their names can clash.
     row = F.struct(*(c for c in docs.columns if c != "text")).alias("row")
     boxed = docs.select("doc_id", "text", F.col("text").isNull().alias("blank"), row)
@@ -399,19 +478,18 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     kind = boxed.schema["row"].dataType.simpleString()
     rows = map_batches(boxed, f"doc_id long, packed binary, blank boolean, row {kind}", pack)
+    listed = repeats(docs, rows).groupBy("doc_id").agg(
+        F.collect_list(F.struct("first", "last")).alias("runs")
+    )
 
     def cut(batch: Batch) -> Batch:
-        runs = batch.column("runs").to_pylist()
-        kept = [
-            _cut(x, y or [])[2].decode(errors="ignore")
-            for x, y in zip(unpacked(batch), runs, strict=True)
-        ]
+        kept = [x[2].decode(errors="ignore") for _, x in _all_cut(batch)]
         blank = batch.column("blank").to_pylist()
         kept = [None if x else y for x, y in zip(blank, kept, strict=True)]
         return pa.record_batch([pa.array(kept, pa.string()), batch.column("row")], ["text", "row"])
 
     joined = rows.join(listed, "doc_id", "left").select("packed", "blank", "row", "runs")
-    done = map_batches(joined, f"text string, row {kind}", cut)
+    done = joined.mapInArrow(_in_slices(cut), f"text string, row {kind}")
     columns = {
         "text": F.col("text"),
         "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)

@@ -7,7 +7,7 @@ in C, and bytes of at least 0x80 never match an ASCII class.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any, NamedTuple
 
 import numpy as np
@@ -145,7 +145,7 @@ def read(of: list[bytes], members: np.ndarray = NOT_BLANK, lower: bool = False)
 
 
 def portions(
-    of: list[bytes], size: int = PORTION_BYTES, count: int = 1 << 30
+    of: Iterable[bytes], size: int = PORTION_BYTES, count: int = 1 << 30
 ) -> Iterator[list[bytes]]:
     """The texts in order, some at a time; a long text stays whole."""
     part: list[bytes] = []
