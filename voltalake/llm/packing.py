@@ -14,16 +14,19 @@ no rows.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from tokenizers import Tokenizer
 
 from voltalake.llm.text import Batch, map_batches, texts
 from voltalake.session import stage
@@ -35,6 +38,9 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PATTERN = (
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 )
+# White space of this length is not for the pattern's engine.
+LONG_BLANK = 10_000
+_LONG_BLANK = re.compile(rf"\s{{{LONG_BLANK}}}")
 
 
 def _byte_of() -> dict[str, int]:
@@ -65,9 +71,22 @@ def encoding(path: str) -> tiktoken.Encoding:
     )
 
 
+@lru_cache(maxsize=1)
+def whole_tokenizer(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
 def token_ids(path: str, text: str) -> bytes:
-    """Ids as little-endian unsigned 32-bit numbers."""
-    ids = encoding(path).encode_to_numpy(text, allowed_special="all")
+    """Ids as little-endian unsigned 32-bit numbers.
+
+    The pattern's engine keeps a stack over a run of white space, which ends the
+    task where the run has some hundred thousand characters. Texts with long runs
+    go to ``tokenizers``, which gives the same ids at a fifth of the speed.
+    """
+    if len(text) >= LONG_BLANK and _LONG_BLANK.search(text):
+        ids = np.array(whole_tokenizer(path).encode(text, add_special_tokens=False).ids, "<u4")
+    else:
+        ids = encoding(path).encode_to_numpy(text, allowed_special="all")
     return ids.astype("<u4", copy=False).tobytes()
 
 
