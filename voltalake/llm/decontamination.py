@@ -22,9 +22,9 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
-import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -40,7 +40,7 @@ BLOCK_BYTES = 16 * 1024 * 1024
 Words = list[bytes]
 Gram = tuple[bytes, ...]
 RESULT = (
-    "doc_id long, n_words long, n_hit long, n_items long, "
+    "row_id long, doc_id long, n_words long, n_hit long, n_items long, "
     "items_sha256 string, contaminated boolean, items array<long>"
 )
 FOUND = (
@@ -139,31 +139,44 @@ def _blocks(windows: DataFrame) -> DataFrame:
     return windows.withColumn("block", block)
 
 
+def _hits(of: list[bytes], index: tuple) -> tuple[list[int], list, list[list[int]]]:
+    """Of each text: its words, the runs of words that an index's windows hit, and the items."""
+    by_shingle, pairs, single = index
+    counts, hits, found = [], [], []
+    for text in of:
+        in_text = words(text)
+        counts.append(len(in_text))
+        at: list[tuple[int, Gram]] = []
+        if present := pairs.intersection(zip(in_text, in_text[1:], strict=False)):
+            two = zip(in_text, in_text[1:], strict=False)
+            at += [(p, g) for p, g in enumerate(two) if g in present]
+        if present := single.intersection(in_text):
+            at += [(p, (w,)) for p, w in enumerate(in_text) if w in present]
+        runs: list[tuple[int, int]] = []
+        items: set[int] = set()
+        for p, gram in at:
+            for window, place, owners in by_shingle[gram]:
+                first = p - place
+                last = first + len(window)
+                if first >= 0 and last <= len(in_text) and in_text[first:last] == window:
+                    runs.append((first, last))
+                    items.update(owners)
+        hits.append(_united(runs))
+        found.append(sorted(items))
+    return counts, hits, found
+
+
+def _contaminated(n_words: int, hit: list[tuple[int, int]]) -> bool:
+    """Whether any word is hit and at least a twentieth of all."""
+    n_hit = sum(b - a for a, b in hit)
+    return n_hit > 0 and 20 * n_hit >= n_words
+
+
 def _find(docs: DataFrame, index: Broadcast) -> DataFrame:
     """Hit words and items of one block's windows, as runs and ids, in each document."""
 
     def search(batch: Batch) -> Batch:
-        by_shingle, pairs, single = index.value
-        counts, hits, found = [], [], []
-        for text in texts(batch):
-            of = words(text)
-            counts.append(len(of))
-            at: list[tuple[int, Gram]] = []
-            if present := pairs.intersection(zip(of, of[1:], strict=False)):
-                at += [(p, g) for p, g in enumerate(zip(of, of[1:], strict=False)) if g in present]
-            if present := single.intersection(of):
-                at += [(p, (w,)) for p, w in enumerate(of) if w in present]
-            runs: list[tuple[int, int]] = []
-            items: set[int] = set()
-            for p, gram in at:
-                for window, place, owners in by_shingle[gram]:
-                    first = p - place
-                    last = first + len(window)
-                    if first >= 0 and last <= len(of) and of[first:last] == window:
-                        runs.append((first, last))
-                        items.update(owners)
-            hits.append(_united(runs))
-            found.append(sorted(items))
+        counts, hits, found = _hits(texts(batch), index.value)
         struct = pa.struct([("first", pa.int64()), ("last", pa.int64())])
         return pa.record_batch(
             [
@@ -204,15 +217,16 @@ def _verdicts(found: DataFrame) -> DataFrame:
         digest = [
             hashlib.sha256(",".join(sorted(map(str, x))).encode()).hexdigest() for x in items
         ]
-        bad = np.array(n_hit) * 20 >= np.array(n_words)
+        bad = [_contaminated(n, x) for n, x in zip(n_words, runs, strict=True)]
         return pa.record_batch(
             [
+                batch.column("row_id"),
                 batch.column("doc_id"),
                 pa.array(n_words, pa.int64()),
                 pa.array(n_hit, pa.int64()),
                 pa.array(map(len, items), pa.int64()),
                 pa.array(digest),
-                pa.array(bad & (np.array(n_hit) > 0)),
+                pa.array(bad, pa.bool_()),
                 pa.array(items, pa.list_(pa.int64())),
             ],
             [x.split(" ")[0] for x in RESULT.split(", ")],
@@ -221,22 +235,14 @@ def _verdicts(found: DataFrame) -> DataFrame:
     return map_batches(found, RESULT, judge)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """A row for each document: its words, hit words, items and verdict.
-
-    A document is contaminated if any word is hit and at least a twentieth of
-    its words are.
-    """
+def _indexes(docs: DataFrame, benchmark: DataFrame, width: int) -> list[Broadcast]:
+    """The windows by their prefix shingle, block by block."""
     spark = docs.sparkSession
     windows = stage(_blocks(stage(window_table(benchmark, width), "windows")), "blocks")
     last = windows.agg(F.max("block")).first()[0]
-    rows = docs.select("doc_id", "text")
-    # A number for each row tells repeated doc_ids apart where blocks meet again.
-    rows = rows.withColumn("row_id", F.monotonically_increasing_id())
     if last is None:
-        nothing = spark.sparkContext.broadcast(({}, frozenset(), frozenset()))
-        return _verdicts(_find(rows, nothing))
-    found = []
+        return [spark.sparkContext.broadcast(({}, frozenset(), frozenset()))]
+    out = []
     for block in range(int(last) + 1):
         part = windows.filter(F.col("block") == block)
         texts_of = [bytes(x["window"]) for x in part.select("window").distinct().toLocalIterator()]
@@ -251,21 +257,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
             window = bytes(x["window"]).split(b" ")
             gram = tuple(window[x["place"] : x["place"] + SHINGLE])
             by_shingle.setdefault(gram, []).append((window, x["place"], x["items"]))
-        index = spark.sparkContext.broadcast((
+        out.append(spark.sparkContext.broadcast((
             by_shingle,
             frozenset(g for g in by_shingle if len(g) == SHINGLE),
             frozenset(g[0] for g in by_shingle if len(g) == 1),
-        ))
-        found.append(_find(rows, index))
-    if len(found) == 1:
-        return _verdicts(found[0])
-    # Several blocks: stage each, so that the row numbers are made once for all.
-    united = None
-    for k, part in enumerate(found):
-        part = stage(part, f"hits-{k}")
-        united = part if united is None else united.unionByName(part)
+        )))
+    return out
+
+
+def _judged(rows: DataFrame, indexes: list[Broadcast]) -> DataFrame:
+    """The verdict on each of ``rows`` (row_id, doc_id, text), whose numbers are stored."""
+    if len(indexes) == 1:
+        return _verdicts(_find(rows, indexes[0]))
+    found = [stage(_find(rows, index), "hits") for index in indexes]
     return _verdicts(
-        united.groupBy("row_id", "doc_id").agg(
+        reduce(DataFrame.unionByName, found).groupBy("row_id", "doc_id").agg(
             F.max("n_words").alias("n_words"),
             F.flatten(F.collect_list("hit")).alias("hit"),
             F.flatten(F.collect_list("items")).alias("items"),
@@ -273,8 +279,39 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
     )
 
 
+def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
+    """A row for each document: its words, hit words, items and verdict.
+
+    A document is contaminated if any word is hit and at least a twentieth of
+    its words are. Rows are judged one by one, whatever their ids.
+    """
+    indexes = _indexes(docs, benchmark, width)
+    # A number for each row tells repeated doc_ids apart where blocks meet again.
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row_id"))
+    if len(indexes) > 1:
+        rows = stage(rows, "numbered")  # the numbers are made once for all blocks
+    return _judged(rows, indexes).drop("row_id")
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
-    found = contamination(docs, benchmark, width).filter("contaminated")
-    bad = stage(found.select("doc_id").distinct(), "contaminated")
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """The documents that are not contaminated, with all their columns.
+
+    Each row goes or stays by its own text: a null id is no exception, and of rows
+    that repeat an id one may go and another stay.
+    """
+    indexes = _indexes(docs, benchmark, width)
+    if len(indexes) == 1:
+        index = indexes[0]
+
+        def choose(batch: Batch) -> Batch:
+            counts, hits, _ = _hits(texts(batch), index.value)
+            good = [not _contaminated(n, x) for n, x in zip(counts, hits, strict=True)]
+            return batch.filter(pa.array(good, pa.bool_()))
+
+        return map_batches(docs, docs.schema, choose)
+    # The columns travel as one, so that none of their names can clash.
+    row = F.struct(*docs.columns).alias("row")
+    numbered = stage(docs.select(row, F.monotonically_increasing_id().alias("row_id")), "numbered")
+    rows = numbered.select("row_id", "row.doc_id", "row.text")
+    bad = stage(_judged(rows, indexes).filter("contaminated").select("row_id"), "contaminated")
+    return numbered.join(bad, "row_id", "left_anti").select("row.*")
