@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -101,6 +102,34 @@ def test_empty_tables(odd, labels, benchmark, name):
     assert apply(name, *nothing).collect() == []
 
 
+def test_odd_pages(spark):
+    """Nulls, repeats, markup without an end, deep nesting, clashing columns."""
+    pages = [
+        (None, "http://a.b/c", "<p>x</p>"), (1, None, "<p>y"), (2, "http://a.b/d", None),
+        (3, "http://[", ""), (4, "http://a.b/e", "<a " * 300_000), (5, "", "&#" + "9" * 9000 + ";"),
+        (6, "http://a.b/f", "<div>" * 100_000 + "deep"), (7, "x", "<p>" + "<b" * 9 + "\n \t" * 99_999),
+        (8, "http://a.b/g", "<p>same"), (8, "http://a.b/g", "<p>same"), (9, "y", "z <!-- never <p>q"),
+    ]
+    schema = "page_id long, url string, html string, host string, path string, keys int, shown int"
+    table = spark.createDataFrame([(*x, "h", "p", 1, 2) for x in pages], schema)
+    found = {}
+    for x in extraction.main_text(table).collect():
+        found.setdefault(x["page_id"], []).append((x["url"], x["text"], x["n_chars"]))
+    assert {k: [x[1] for x in v] for k, v in found.items()} == {
+        None: ["x"], 1: ["y"], 2: [""], 3: [""], 4: [""], 5: ["\ufffd"], 6: ["deep"], 7: [""],
+        8: ["same", "same"], 9: ["z"],
+    }
+    assert all(n == len(text) for v in found.values() for _, text, n in v)
+    assert extraction.main_text(table.filter("false")).collect() == []
+
+
+def test_extraction_takes_linear_time():
+    for page in ("<a " * 350_000, "<div>" * 100_000, '<a "' * 250_000, "</p><p>a" * 100_000):
+        start = time.perf_counter()
+        extraction.all_lines_of(page)
+        assert time.perf_counter() - start < 10  # the square would take many minutes
+
+
 def test_passing_on_all_columns(odd, labels, benchmark):
     for kept in (
         resampling.keep(odd, labels),
@@ -137,17 +166,26 @@ def test_token_counts_match_the_tokenizer(spark):
     pieces = token_counts.vocabulary(PIECES)
     every = [("<unk>", 0.0), *pieces, *((f"<0x{b:02X}>", -2e9) for b in range(256))]
     unigram = Tokenizer(models.Unigram(every, unk_id=0, byte_fallback=True))
-    unigram.pre_tokenizer = pre_tokenizers.Sequence([
-        pre_tokenizers.WhitespaceSplit(),
-        pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=False),
-    ])
+    unigram.pre_tokenizer = pre_tokenizers.Metaspace(
+        replacement="▁", prepend_scheme="always", split=False
+    )
     rng = random.Random(1)
-    texts = ["".join(rng.choices("aab bc▁éß漢字😀́xyz1. ", k=rng.randint(0, 40))) for _ in range(300)]
+    letters = "aab bc▁éß漢字😀́xyz1.  \n\t\r\x0b\u3000"
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 40))) for _ in range(300)]
+    texts += ["a\n\nb", "x = 1\n\ty = 2", "    ", " a", "\n", "", "def f(x):\n        return x\n" * 9]
     found = token_counts.token_counts(documents(spark, texts), PIECES)
     expected = [len(unigram.encode(x, add_special_tokens=False).ids) for x in texts]
     assert [x["n_tokens"] for x in found.orderBy("doc_id").collect()] == expected
 
 
+def test_token_counts_of_long_parts_take_linear_time():
+    start = time.perf_counter()
+    counter = token_counts.counter(PIECES)
+    for text in ("\u1234" * 300_000, "a" * 300_000, "\n" * 300_000, " " * 300_000):
+        assert counter.of_text(text)[1] > 0
+    assert time.perf_counter() - start < 60  # the square would take many minutes
+
+
 # --- importance resampling ---------------------------------------------------------
 @pytest.mark.parametrize("k", [0, 1, 17, 299, 300, 400])
 def test_top_k_is_exact(spark, k):
@@ -191,9 +229,9 @@ def brute_cut(texts):
     return out
 
 
-@pytest.mark.parametrize("hot", [2000, 2])
-def test_suffix_dedup_matches_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+@pytest.mark.parametrize("chunk", [1_000_000, 100])
+def test_suffix_dedup_matches_brute_force(spark, monkeypatch, chunk):
+    monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
     texts = [*some_texts(4), "x" * 500, "x" * 60, None, "é" * 40, "aé" + "é" * 40]
     found = suffix_dedup.deduplicated(documents(spark, texts)).orderBy("doc_id").collect()
     expected = brute_cut(texts)
@@ -207,6 +245,15 @@ def test_suffix_dedup_matches_brute_force(spark, monkeypatch, hot):
     ]
 
 
+def test_rows_of_a_shared_passage_grow_with_its_documents(spark):
+    rng = random.Random(9)
+    letters = lambda n: "".join(rng.choices("abcdefgh ij", k=n))
+    passage = letters(3000)
+    texts = [letters(200) + passage + letters(200) for _ in range(2000)]
+    few, many = (suffix_dedup.repeats(documents(spark, texts[:n])).count() for n in (500, 2000))
+    assert many < 6 * few and many < 8 * len(texts)
+
+
 # --- near duplicates -----------------------------------------------------------------
 def brute_components(texts, size):
     sets = [
@@ -509,3 +556,49 @@ def test_words_are_told_apart_by_their_hashes():
     hashes = part.hashes()
     assert hashes[0] == hashes[3] == hashes[4] and len(set(hashes.tolist())) == 3
     assert part.words.tolist() == [4, 0, 1]
+
+
+@pytest.mark.parametrize("block", [1 << 24, 200])
+def test_rows_are_judged_by_their_own_text(spark, monkeypatch, block):
+    """Null and repeated ids, one or several blocks, rows in another order each time."""
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
+    rng = random.Random(15)
+    items = [" ".join(rng.choices(WORDS, k=20)) for _ in range(20)]
+    bad = [f"{x} more words" for x in items]
+    good = [" ".join(rng.choices(["other", "words", "entirely"], k=30)) for _ in range(20)]
+    rows = [(None, bad[0]), (None, good[0]), (2, bad[1]), (2, good[1]), (3, bad[0]), (3, bad[0])]
+    rows += [(k + 9, x) for k, x in enumerate(bad + good)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_id", F.lit("r"))
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    kept = decontamination.clean(docs.repartition(7), table)
+    assert kept.columns == docs.columns
+    expected = sorted([x for x in rows if x[1] in good], key=str)
+    assert sorted([(x["doc_id"], x["text"]) for x in kept.collect()], key=str) == expected
+    found = decontamination.contamination(docs.repartition(7), table).collect()
+    verdicts = sorted([(x["doc_id"], x["n_hit"], x["contaminated"]) for x in found], key=str)
+    assert verdicts == sorted([(k, 20 * (x in bad), x in bad) for k, x in rows], key=str)
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", " \n", "\u3000"])
+def test_long_white_space_has_the_tokenizers_ids(blank):
+    tokenizer = Tokenizer.from_file(BPE)
+    for text in (f"x{blank * 600_000}a b", blank * 20_000, f"a{blank * 9_990} {blank * 20}b"):
+        ids = np.frombuffer(packing.token_ids(BPE, text), "<u4").tolist()
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_quality_of_held_out_texts(spark):
+    """The classifier parts rows that it has not learnt from, and is calibrated on them."""
+    rng = random.Random(16)
+    junk = "click here now win free prize offer deal cheap".split()
+    good = [k % 3 > 0 for k in range(900)]
+    texts = [" ".join(rng.choices(WORDS if x else WORDS + 2 * junk, k=60)) for x in good]
+    docs = documents(spark, texts)
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 3 > 0 as int) quality").filter("doc_id < 450")
+    found = quality_rules.judge(docs, quality_rules.learn(docs, labels)).orderBy("doc_id").collect()
+    held = [(x["score"], x["kept"], good[x["doc_id"]]) for x in found if x["doc_id"] >= 450]
+    assert np.mean([kept == is_good for _, kept, is_good in held]) > 0.95
+    sure = [is_good for score, _, is_good in held if score > 0.8]
+    assert len(sure) > 100 and np.mean(sure) > 0.9
+    poor = [is_good for score, _, is_good in held if score < 0.2]
+    assert len(poor) > 50 and np.mean(poor) < 0.1

@@ -1,21 +1,25 @@
 """Token counts by a Viterbi pass that keeps scores and counts only.
 
 The vocabulary's pieces and scores come from a public SentencePiece file and
-are read as a unigram model. Text is cut into words at white space; each gets
-the word mark in front, unless it begins with one. In a word, an Aho-Corasick automaton lists every
+are read as a unigram model. The whole text counts: blanks become word marks, one
+more stands in front unless the text begins with one, and line feeds and tabs are
+characters like others. The text is cut where no piece can lie across, before each
+run of marks and beside line feeds, tabs and carriage returns, as far as the
+vocabulary has them in no piece. In a part, an Aho-Corasick automaton lists every
 vocabulary match; dynamic programming carries for each position the best score
 and its number of pieces. Ties follow the tokenizer: of equal scores the piece
 that begins first stays. A character that no single-character piece covers
 costs ``UNKNOWN_COST`` more than the worst piece and counts its UTF-8 bytes, as
 bytes are its fallback pieces. The scores are whole numbers, so sums are exact
-and words can be counted apart.
+and parts can be counted apart.
 
-Null, empty and blank texts have 0 tokens. Repeated rows are counted one by
+Null and empty texts have 0 tokens; blank ones have those of their blanks. Repeated rows are counted one by
 one; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import ahocorasick
@@ -42,7 +46,7 @@ def vocabulary(path: str) -> list[tuple[str, float]]:
 
 
 class Counter:
-    """Counts pieces of words."""
+    """Counts pieces of texts."""
 
     def __init__(self, pieces: list[tuple[str, float]]):
         self.matches = ahocorasick.Automaton()
@@ -51,22 +55,29 @@ class Counter:
         self.matches.make_automaton()
         self.single = {piece for piece, _ in pieces if len(piece) == 1}
         self.unknown = min((score for _, score in pieces), default=0.0) - UNKNOWN_COST
-        self.words = Cache(self._of_word, entries=500_000)
-
-    def _of_word(self, word: str) -> complex:
-        """Pieces (real part) and score (imaginary part) of a word."""
-        text = word if word.startswith(MARK) else MARK + word
+        known = {c for piece, _ in pieces for c in piece}
+        free = "".join(c for c in "\n\t\r" if c not in known)
+        alone = f"[{free}]|" if free else ""
+        across = any(MARK in piece.lstrip(MARK) for piece, _ in pieces)
+        part = rf"[^{free}]+" if across else rf"{MARK}+[^{MARK}{free}]*|[^{MARK}{free}]+"
+        self.parts = re.compile(alone + part if free or not across else r"(?s).+")
+        self.counts = Cache(self._of_part, entries=500_000)
+
+    def _of_part(self, text: str) -> complex:
+        """Pieces (real part) and score (imaginary part) of a part of a text."""
         best = [-np.inf] * len(text) + [0.0]  # the last entry stands before the first
         count = [0] * (len(text) + 1)
         gaps = [k for k, c in enumerate(text) if c not in self.single]
         # Matches come by their end, the longest first, so a tie leaves the earlier start.
+        done = 0
         for end, (length, score) in self.matches.iter(text):
-            while gaps and gaps[0] < end:
-                self._unknown(text, gaps.pop(0), best, count)
+            while done < len(gaps) and gaps[done] < end:
+                self._unknown(text, gaps[done], best, count)
+                done += 1
             total = best[end - length] + score
             if total > best[end]:
                 best[end], count[end] = total, count[end - length] + 1
-        for at in gaps:
+        for at in gaps[done:]:
             self._unknown(text, at, best, count)
         at = len(text) - 1
         return complex(count[at], best[at])
@@ -78,9 +89,11 @@ class Counter:
             best[at], count[at] = total, count[at - 1] + len(text[at].encode())
 
     def of_text(self, text: str) -> tuple[int, int, float]:
-        words = text.split()
-        total = sum(map(self.words.__getitem__, words), 0j)
-        return len(words), int(total.real), total.imag
+        marked = text.replace(" ", MARK)
+        if marked and not marked.startswith(MARK):
+            marked = MARK + marked
+        total = sum(map(self.counts.__getitem__, self.parts.findall(marked)), 0j)
+        return len(text.split()), int(total.real), total.imag
 
 
 @lru_cache(maxsize=1)
