@@ -318,21 +318,28 @@ def _open_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame) -> Dat
     rows = _open_regions(members, roots)
     marked = rows.join(classes.select("id", "sketch", "heads", "sample"), "id")
 
-    shares = F.ceil(F.col("strangers") / CROWD)
+    shares, cells = F.ceil(F.col("strangers") / CROWD), F.ceil(F.col("all") / CROWD)
 
     def blocks(of: DataFrame, size: Column, name: str) -> DataFrame:
         part = F.pmod(F.xxhash64("id"), F.ceil(size / BLOCK))
         entry = F.struct("id", "n", "root", "sketch", "heads", "sample")
         return of.groupBy(
-            "region", "tree", "largest", shares.alias("shares"), part.alias("part")
+            "region", "tree", "largest", shares.alias("shares"), cells.alias("cells"),
+            part.alias("part"),
         ).agg(F.collect_list(entry).alias(name))
 
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
     strangers = blocks(marked.filter("root <> largest"), F.col("strangers"), "x").select(
-        "region", "tree", "largest", "x", F.pmod("part", "shares").alias("share")
+        "region", "tree", "largest", "x", F.pmod("part", "shares").alias("share"),
+        every("cells").alias("cell"),
+    )
+    everyone = blocks(marked, F.col("all"), "y").select(
+        "region", "y", F.pmod("part", "cells").alias("cell"), every("shares").alias("share")
     )
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))
-    everyone = blocks(marked, F.col("all"), "y").select("region", "y", every.alias("share"))
-    both = strangers.join(everyone, ["region", "share"]).select("tree", "largest", "x", "y")
+    keys = ["region", "share", "cell"]
+    both = strangers.join(everyone, keys).select("tree", "largest", "x", "y")
 
     def compare(batch: Batch) -> Batch:
         trees = batch.column("tree").to_pylist()
