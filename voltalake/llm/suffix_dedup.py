@@ -51,6 +51,7 @@ from voltalake.llm.text import (
     Batch,
     compressed,
     map_batches,
+    map_tasks,
     mixed,
     packed,
     portions,
@@ -388,15 +389,14 @@ def repeats(docs: DataFrame, carried: DataFrame | None = None) -> DataFrame:
     """
     carried = packed(docs) if carried is None else carried
     docs = docs.filter("doc_id is not null").select("doc_id", "text")
-    keys = docs.mapInArrow(_keys, KEYS)
+    keys = map_tasks(docs, KEYS, _keys)
     sure = F.col("state").bitwiseAND(F.lit(SURE)) > 0
     dealt = keys.repartition(F.when(sure, F.col("doc_id")).otherwise(F.col("key")))
-    settled = dealt.sortWithinPartitions("key", "content", "doc_id").mapInArrow(
-        _settled, "doc_id long, key long"
-    )
+    ordered = dealt.sortWithinPartitions("key", "content", "doc_id")
+    settled = map_tasks(ordered, "doc_id long, key long", _settled)
     # A document has at most one key for each of its bytes.
     listed = stage(settled.groupBy("doc_id").agg(F.collect_set("key").alias("keys")), "keys")
-    strings = carried.join(listed, "doc_id", "left").mapInArrow(_candidates, STRINGS)
+    strings = map_tasks(carried.join(listed, "doc_id", "left"), STRINGS, _candidates)
     placed = strings.withColumn("least", F.min("doc_id").over(Window.partitionBy("key")))
     return placed.filter("last is not null or doc_id > least").select(
         "doc_id", "first", F.coalesce("last", F.col("first") + 1).alias("last")
@@ -459,7 +459,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         )
 
     joined = carried.join(listed, "doc_id", "left").select("doc_id", "packed", "runs")
-    return joined.mapInArrow(_in_slices(cut), RESULT)
+    return map_tasks(joined, RESULT, _in_slices(cut))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -489,7 +489,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         return pa.record_batch([pa.array(kept, pa.string()), batch.column("row")], ["text", "row"])
 
     joined = rows.join(listed, "doc_id", "left").select("packed", "blank", "row", "runs")
-    done = joined.mapInArrow(_in_slices(cut), f"text string, row {kind}")
+    done = map_tasks(joined, f"text string, row {kind}", _in_slices(cut))
     columns = {
         "text": F.col("text"),
         "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)

@@ -6,6 +6,7 @@ in C, and bytes of at least 0x80 never match an ASCII class.
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any, NamedTuple
@@ -166,6 +167,27 @@ def texts(batch: Batch, column: str = "text") -> list[bytes]:
     return [x or b"" for x in values.cast(pa.binary()).to_pylist()]
 
 
+def map_tasks(
+    df: DataFrame, schema: Any, function: Callable[[Iterator[Batch]], Iterator[Batch]]
+) -> DataFrame:
+    """The function on the Arrow batches of each task."""
+
+    def run(batches: Iterator[Batch]) -> Iterator[Batch]:
+        yield from function(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Return freed memory to the system. Workers serve many tasks, and each worker
+    would keep what its largest task needed, idle ones too."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
 def map_batches(df: DataFrame, schema: Any, function: Callable[[Batch], Batch]) -> DataFrame:
     """One output batch for each Arrow batch."""
 
@@ -174,7 +196,7 @@ def map_batches(df: DataFrame, schema: Any, function: Callable[[Batch], Batch])
             if batch.num_rows:
                 yield function(batch)
 
-    return df.mapInArrow(run, schema)
+    return map_tasks(df, schema, run)
 
 
 def held_out(doc_id: Column) -> Column:
