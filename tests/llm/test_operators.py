@@ -212,6 +212,43 @@ def test_resampling_parts_good_from_bad(spark):
     assert {x["doc_id"] for x in kept.collect()} == {x["doc_id"] for x in found if x["kept"]}
 
 
+def test_all_labels_count(spark):
+    """The level and the target model come from all labels, however many."""
+    n = 30_000
+    scored = spark.range(n).selectExpr("id as doc_id", "cast(id div 3 as double) as log_weight")
+    labels = spark.range(n).selectExpr("id as doc_id", "cast(id >= 600 as int) as quality")
+    labels = labels.unionByName(spark.sql("select null as doc_id, 0 as quality union all select 9, null"))
+    assert resampling.level(scored, labels) == (199 + 200) / 2 - resampling.MARGIN
+    assert resampling.level(scored, labels.filter("quality = 1")) == -np.inf
+    docs = spark.range(n).selectExpr("id as doc_id", "concat('w', id) as text")
+    good = spark.range(n).selectExpr("id as doc_id", "1 as quality")
+    assert not resampling.learn(docs, good).ratio.any()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_level_matches_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows = [(k, rng.choice([float(rng.randrange(9)), rng.random() * 9])) for k in range(200)]
+    marks = [(rng.randrange(220), int(rng.random() < 0.02 * seed * (k % 40))) for k in range(150)]
+    of = dict(rows)
+    known = [(of[i], q) for i, q in marks if i in of]
+    n_good = sum(q for _, q in known)
+    n_bad = len(known) - n_good
+    edges = sorted({w for w, _ in known})
+
+    def gain(edge):
+        below = [q for w, q in known if w < edge]
+        return below.count(0) * n_good - resampling.CLEAN * below.count(1) * n_bad
+
+    best = max(range(len(edges)), key=lambda k: (gain(edges[k]), -k))
+    expected = (edges[best - 1] + edges[best]) / 2 - resampling.MARGIN
+    if not best or not n_good or not n_bad:
+        expected = -np.inf
+    scored = spark.createDataFrame(rows, "doc_id long, log_weight double").repartition(7)
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    assert resampling.level(scored, labels) == expected
+
+
 # --- repeated substrings -------------------------------------------------------------
 def brute_cut(texts):
     """Kept bytes, removed bytes and spans of each text."""

@@ -23,16 +23,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from voltalake.llm.text import Batch, map_batches, mixed, portions, read, texts
+from voltalake.llm.text import Batch, map_batches, mixed, packed, portions, read, texts, unpacked
 from voltalake.session import stage
 
 BUCKETS = 1 << 14
 # A longer text weighs as if it had so many features, so that a slight tilt of the
 # raw model, towards texts with many copies, does not add up over its length.
 LENGTH = 50
-TARGET_ROWS = 20_000
-LABEL_ROWS = 4000
 SEED = 7
 SCORES = "doc_id long, log_weight double, key double"
 ACCURACY = 10_000
@@ -58,27 +57,29 @@ def features(of: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return keys.astype(np.int64), np.concatenate([part.text, part.text[1:][paired]])
 
 
-def bucket_counts(docs: DataFrame) -> np.ndarray:
-    """How often each bucket occurs; a row for each bucket and Arrow batch is shuffled."""
+def bucket_counts(docs: DataFrame, column: str = "text") -> np.ndarray:
+    """How often each bucket occurs in texts, or in texts compressed as ``packed``; a row
+    for each bucket and Arrow batch is shuffled."""
 
     def count(batch: Batch) -> Batch:
         total = np.zeros(BUCKETS, np.int64)
-        for part in portions(texts(batch)):
+        for part in portions(unpacked(batch) if column == "packed" else texts(batch)):
             total += np.bincount(features(part)[0], minlength=BUCKETS)
         bucket = np.flatnonzero(total)
         return pa.record_batch([pa.array(bucket), pa.array(total[bucket])], ["bucket", "n"])
 
-    rows = map_batches(docs.select("text"), "bucket long, n long", count)
+    rows = map_batches(docs.select(column), "bucket long, n long", count)
     out = np.zeros(BUCKETS)
     for x in rows.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         out[x["bucket"]] = x["n"]
     return out
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = TARGET_ROWS) -> Model:
-    """The raw model from all documents, the target model from at most ``rows`` good ones."""
-    good = _some(labels.filter("quality = 1"), rows)
-    target = bucket_counts(docs.join(F.broadcast(good.select("doc_id")), "doc_id", "left_semi"))
+def learn(docs: DataFrame, labels: DataFrame) -> Model:
+    """The raw model from all documents, the target model from all good ones."""
+    good = labels.filter("doc_id is not null and quality = 1").select("doc_id")
+    learnt = packed(docs).join(good.hint("merge"), "doc_id", "left_semi")
+    target = bucket_counts(learnt, "packed")
     raw = bucket_counts(docs)
     if not target.any():
         return Model(np.zeros(BUCKETS))
@@ -88,12 +89,6 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TARGET_ROWS) -> Model:
     return Model(np.log(p / q))
 
 
-def _some(labels: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` labelled rows, the first by a hash of the id."""
-    known = labels.filter("doc_id is not null and quality is not null")
-    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-
-
 def _keys(doc_ids: list[int | None], weights: np.ndarray, seed: int) -> np.ndarray:
     """Log weights with a Gumbel draw; a null id draws as 0."""
     ids = np.array([x or 0 for x in doc_ids], np.int64).view(np.uint64)
@@ -128,26 +123,54 @@ def _weights(of: list[bytes], model: Model) -> np.ndarray:
     return np.concatenate(out)
 
 
-def level(scored: DataFrame, labels: DataFrame, rows: int = LABEL_ROWS) -> float:
+def level(scored: DataFrame, labels: DataFrame) -> float:
     """The log weight that parts good from bad labelled rows with the best mean recall.
 
-    The rows learnt from are sampled, at most ``rows``. Of equally good levels
-    the lowest is taken, in favour of keeping.
+    All labelled rows count, also those learnt from. Of equally good levels the
+    lowest is taken, in favour of keeping. Distinct weights are sorted over the whole
+    cluster, and what lies below each is summed by sorted part.
     """
-    some = F.broadcast(_some(labels, rows).select("doc_id", "quality"))
-    found = scored.join(some, "doc_id").select("log_weight", "quality").collect()
-    weight = np.array([x["log_weight"] for x in found])
-    good = np.array([x["quality"] == 1 for x in found], bool)
-    if good.all() or not good.any():
+    known = labels.filter("doc_id is not null and quality is not null")
+    good = F.col("quality") == 1
+    counted = (
+        scored.select("doc_id", "log_weight")
+        .join(known.select("doc_id", "quality"), "doc_id")
+        .groupBy("log_weight")
+        .agg(F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))
+    )
+    at = F.monotonically_increasing_id().alias("at")
+    ordered = stage(counted.orderBy("log_weight").select("*", at), "levels")
+    ordered = ordered.withColumn("part", F.shiftright("at", 33))
+    # A row for each task of the sort.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ordered.groupBy("part").agg(
+        F.sum("good").alias("goods"), F.sum("bad").alias("bads"), F.max("log_weight").alias("last")
+    )
+    n_good, n_bad = parts.agg(F.sum("goods"), F.sum("bads")).first()
+    if not n_good or not n_bad:
+        return -np.inf
+    offsets = parts.select(
+        "part", *[F.sum(x).over(before).alias(x) for x in ("goods", "bads")],
+        F.max("last").over(before).alias("last"),
+    )
+    inside = Window.partitionBy("part").orderBy("at")
+    above = inside.rowsBetween(Window.unboundedPreceding, -1)
+
+    def below(count: str):
+        found = [F.coalesce(x, F.lit(0)) for x in (F.sum(count).over(above), F.col(f"{count}s"))]
+        return (found[0] + found[1]).cast("decimal(19,0)")
+
+    # The recalls times both numbers of rows. To cut above all rows is never best.
+    gain = below("bad") * F.lit(n_good) - below("good") * F.lit(CLEAN * n_bad)
+    cuts = ordered.join(F.broadcast(offsets), "part").select(
+        F.coalesce(F.lag("log_weight").over(inside), F.col("last")).alias("under"),
+        F.col("log_weight").alias("edge"),
+        gain.alias("gain"),
+    )
+    best = cuts.agg(F.max(F.struct("gain", (-F.col("edge")).alias("lowest"), "under"))).first()[0]
+    if best["under"] is None:
         return -np.inf
-    order = np.argsort(weight)
-    bad_below = np.append(0, np.cumsum(~good[order])) / (~good).sum()
-    good_below = np.append(0, np.cumsum(good[order])) / good.sum()
-    best = int(np.argmax(bad_below - CLEAN * good_below))
-    edges = np.append(weight[order], np.inf)
-    below = edges[best - 1] if best else -np.inf
-    middle = (below + edges[best]) / 2 if np.isfinite(below + edges[best]) else below
-    return float(middle) - MARGIN
+    return (best["under"] - best["lowest"]) / 2 - MARGIN
 
 
 class Cut(NamedTuple):
