@@ -283,3 +283,19 @@ def test_counts_of_a_load_add_up(spark, tmp_path):
     assert sorted(values(bad, "nombre_proveedor", "motivo")) == [
         ("c", "capacidad_mw"), ("d", S.CORRUPT),
     ]
+
+
+def test_rows_find_their_landing_without_patterns(spark, sample, tmp_path, monkeypatch):
+    """A pattern on the path of each row took more time than all else of an ingest."""
+    landing, root, marks = (str(tmp_path / n) for n in ("in", "lake", "marks"))
+    files.land({"proveedores": sample["proveedores"]}, spark, landing, DAY)
+    shutil.copy(DATA / "proveedores.csv", tmp_path / "in" / "proveedores.csv")
+
+    def pattern(*_):
+        raise AssertionError("a pattern on paths")
+
+    monkeypatch.setattr(ingest.F, "regexp_extract", pattern)
+    ingest.ingest(spark, "proveedores", landing, root, marks, DAY)
+    monkeypatch.undo()
+    found = spark.read.parquet(f"{root}/raw/proveedores").groupBy("carga").count().collect()
+    assert sorted((x["carga"] == ingest.LOOSE, x["count"]) for x in found) == [(False, 10), (True, 10)]

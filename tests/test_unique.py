@@ -36,3 +36,16 @@ def test_rows_that_the_stream_does_not_have_are_named(spark, sample, tmp_path):
     files.land({"proveedores": sample["proveedores"]}, spark, landing, DAY, 5)
     ingest.ingest(spark, "proveedores", landing, root, marks, DAY)
     assert unique.missed(spark, root, "proveedores").count() == 6
+
+
+def test_keys_lie_on_disk(spark, sample, tmp_path):
+    """The state is the store on disk, and the session's own setting is left as it was."""
+    landing, root, marks = (str(tmp_path / n) for n in ("in", "lake", "marks"))
+    before = {key: spark.conf.get(key, None) for key in unique.STATE}
+    files.land({"proveedores": sample["proveedores"]}, spark, landing, DAY)
+    ingest.ingest(spark, "proveedores", landing, root, marks, DAY)
+    unique.unique_rows(spark, root, "proveedores", f"{marks}/unique")
+    state = tmp_path / "marks" / "unique" / "proveedores" / "state"
+    assert {x.suffix for x in state.rglob("*.*")} & {".changelog", ".zip"}
+    assert not list(state.rglob("*.delta"))
+    assert {key: spark.conf.get(key, None) for key in unique.STATE} == before
