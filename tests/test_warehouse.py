@@ -58,6 +58,15 @@ def test_number_too_large_becomes_null(spark, processed):
     assert set(values(rows, "capacidad_mw")) == {(None,)}
 
 
+def test_numbers_at_the_limit_are_counted_as_the_cast_has_them(spark, processed):
+    near = [1e10, 1e10 - 0.004, 1e10 - 0.006, 1e10 - 1, 1e10 - 2, -1e10, -1e10 + 0.006, 0.0, None]
+    near += [float("nan"), float("inf"), float("-inf"), 1e300, 1e10 + 5]
+    rows = spark.createDataFrame([(x,) for x in near], "capacidad_mw double")
+    table = processed["proveedores"].limit(1).drop("capacidad_mw").crossJoin(rows)
+    lost = warehouse.warehouse_rows(table, "dim_proveedores").where("capacidad_mw IS NULL").count() - 1
+    assert tables.checked(table, "dim_proveedores") == lost > 0
+
+
 def test_text_too_long_fails_the_load(spark, processed):
     tables.create_tables(spark, "dwh_long")
     wide = processed["proveedores"].selectExpr(
