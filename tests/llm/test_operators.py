@@ -505,6 +505,63 @@ def test_short_articles_lose_their_boilerplate(spark):
     assert menu[0] in found[4] and "Frost" in found[4]  # a copy stays whole
 
 
+def test_named_main_parts_are_differenced_by_blocks(spark):
+    """What the design repeats inside ``article`` goes; quotes, teasers and copies stay."""
+    quote = "<p>A passage that both articles quote.</p>"
+    design = "<div id='top-{k}'><div><p>Read us every day<p>In all towns</div>since 1900</div>"
+    page = (
+        "<nav>menu</nav><article><h1>{name}</h1>" + design + "<div class='body'><p>All about {name}, "
+        "at some length, as such articles are.</p>" + quote + "</div>" + quote
+        + "<div>Printed by us</div>{more}</article><div>{other}, in brief</div>"
+    )
+    body = "<article><div>{0}</div></article>"
+    rows = [
+        (1, "http://a.org/x/1", page.format(k=1, name="Rain", other="Snow", more="<div>x</div>")),
+        (2, "http://a.org/x/2", page.format(k=2, name="Snow", other="Rain", more="<div>Snow, in brief</div>")),
+        (3, "http://b.org/x/1", body.format("the same article")),
+        (4, "http://b.org/x/2", body.format("the same article")),
+        (5, "http://c.org/x/1", "<main><div class=a>Same words</div><p>one, which is long enough</main>"),
+        (6, "http://c.org/x/2", "<main><div class=b>Same words</div><p>two, which is long enough</main>"),
+        (7, "http://d.org/x/1", "<main><p><div>Alone"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {x["page_id"]: x["text"] for x in extraction.main_text(pages).collect()}
+    said = "A passage that both articles quote."
+    about = "{0}\nAll about {0}, at some length, as such articles are.\n" + f"{said}\n{said}\n"
+    assert found[1] == about.format("Rain") + "x"
+    assert found[2] == about.format("Snow") + "Snow, in brief"
+    assert found[3] == found[4] == "the same article"
+    assert found[5] == "Same words\none, which is long enough"
+    assert found[6] == "Same words\ntwo, which is long enough"
+    assert found[7] == "Alone"
+
+
+def test_blocks_have_the_lines_between_their_tags():
+    rng = random.Random(11)
+    for _ in range(100):
+        html, ends, stack, n = "", [], [], 0
+        for _ in range(rng.randint(0, 40)):
+            kind = rng.choice("<<>>p")
+            if kind == "<":
+                stack.append(n)
+                html += "<div>"
+            elif kind == ">" and stack:
+                html += "</div>"
+                ends.append((stack.pop(), n))
+            elif kind == "p":
+                html += f"<p>line {rng.randint(0, 2)}</p>"
+                n += 1
+        ends += [(start, n) for start in stack[::-1]]
+        lines, _, _, blocks = extraction.all_lines_of(f"<main>{html}</main>")
+        assert [(b.start, b.end) for b in blocks] == [x for x in ends if x[0] < x[1]]
+        kept = extraction.kept_blocks(
+            ["long " * 90] * 3 + lines, [b.key for b in blocks],
+            [x + 3 for b in blocks for x in (b.start, b.end)], [b.key for b in blocks],
+        )
+        inside = {k for start, end in ends for k in range(start, end)}
+        assert kept[3:] == [x for k, x in enumerate(lines) if k not in inside]
+
+
 # --- packing ---------------------------------------------------------------------------
 def test_token_ids_match_the_tokenizer():
     texts = [x or "" for _, x in ODD] + ["a  b", " a", "a ", "a\x1c b", "a\n b", "don't 'S 12", *some_texts(11)]

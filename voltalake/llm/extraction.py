@@ -9,8 +9,11 @@
    with the neighbour that shares the longest beginning with it.
 3. A page's lines are aligned with all of its partner's, also those outside a main
    part and in menus and the like, by their longest common subsequence, and what
-   both have is deleted. Lines of a main part that the page names stay, as articles
-   may quote the same passages. A page that has nearly all of its text or its
+   both have is deleted. In a main part that the page names, whole blocks (``div``,
+   which says nothing of its content) are aligned instead: one that the partner's
+   main part has too, with the same lines at the same place, is part of the design
+   and is deleted. Single lines stay there, as articles quote the same passages and
+   menus and adverts quote articles. A page that has nearly all of its text or its
    ``LONGEST`` longest lines in common with its partner is a copy of it rather than
    another page of the same design, and loses nothing.
 
@@ -27,6 +30,8 @@ import html
 import re
 from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
+from typing import NamedTuple
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -43,7 +48,7 @@ COPY = 0.9  # from this share of its characters on, a page is a copy of its part
 LONGEST = 3  # or if so many of its longest lines are its partner's
 PARSED = (
     "page_id long, url string, host string, path string, named boolean, "
-    "keys array<long>, shown array<long>, packed binary"
+    "keys array<long>, shown array<long>, blocks array<long>, spans array<long>, packed binary"
 )
 RESULT = "page_id long, url string, text string, n_chars long"
 
@@ -66,6 +71,7 @@ NAMES = (
     "sidebar signup social sponsor sponsored subscribe toolbar widget"
 ).split()
 MAIN = "article main".split()
+BLOCK = "div"
 
 HIDDEN_SET, INLINE_SET, VOID_SET = map(frozenset, (HIDDEN, INLINE, VOID))
 OPTIONAL_SET, ASIDE_SET, NAME_SET, MAIN_SET = map(frozenset, (OPTIONAL, ASIDE, NAMES, MAIN))
@@ -82,6 +88,17 @@ ENDLESS = re.compile(r"&#(?:[0-9]{20,}|[xX][0-9a-fA-F]{20,});?")
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 PART = re.compile(r"[a-z]+")
+# The hash of a block's lines is a polynomial of theirs, so that nested blocks share it.
+FIELD, BASE = (1 << 61) - 1, 0x1F3D5B79A2C4E68
+
+
+class Block(NamedTuple):
+    """A block of a main part: hash of its place and lines, and the first line and the
+    one after the last."""
+
+    key: int
+    start: int
+    end: int
 
 
 def _decoded(parts: list[str]) -> str:
@@ -90,19 +107,25 @@ def _decoded(parts: list[str]) -> str:
     return " ".join(html.unescape(text).split())
 
 
+def _words(tag: str) -> list[str]:
+    """Words of the tag's classes, id and role."""
+    values = (next(filter(None, m), "") for m in NAMED.findall(tag))
+    return [word for value in values for word in value.lower().split()]
+
+
+def _place_of(tag: str, above: int) -> int:
+    """Hash of a block's names, without numbers, and of the blocks around it."""
+    names = " ".join("-".join(PART.findall(word)) for word in _words(tag))
+    return xxhash.xxh64_intdigest(f"{above} {names}")
+
+
 def _is_aside(tag: str, name: str, in_main: bool) -> bool:
     if name in ASIDE_SET:
         # A header of the article itself holds its title.
         return not (in_main and name == "header")
     if name in MAIN_SET or name in ("html", "body"):
         return False
-    values = (next(filter(None, m), "") for m in NAMED.findall(tag))
-    return any(
-        part in NAME_SET
-        for value in values
-        for word in value.lower().split()
-        for part in PART.findall(word)
-    )
+    return any(part in NAME_SET for word in _words(tag) for part in PART.findall(word))
 
 
 def lines_of(page: str) -> tuple[list[str], bool]:
@@ -110,8 +133,9 @@ def lines_of(page: str) -> tuple[list[str], bool]:
     return all_lines_of(page)[:2]
 
 
-def all_lines_of(page: str) -> tuple[list[str], bool, list[str]]:
-    """The same, and all lines that the page shows, with those of menus and the like."""
+def all_lines_of(page: str) -> tuple[list[str], bool, list[str], list[Block]]:
+    """The same, all lines that the page shows, with those of menus and the like, and
+    the blocks of the main part in the order of their ends."""
     lines: list[tuple[str, bool]] = []  # text, and whether it lies in a main part
     shown: list[str] = []
     parts: list[str] = []
@@ -119,12 +143,18 @@ def all_lines_of(page: str) -> tuple[list[str], bool, list[str]]:
     open_tags: list[tuple[str, bool, bool, bool]] = []  # name, aside, main, hidden
     depth: Counter[str] = Counter()  # open tags by name
     aside = main = hidden = 0
+    blocks: list[Block] = []
+    # Open blocks: place, number of open tags outside, and lines before.
+    open_blocks: list[tuple[int, int, int]] = []
+    hashed = [0]  # of the main part's lines up to each
 
     def end_line() -> None:
         text = _decoded(parts)
         if text:
             lines.append((text, main > 0))
             shown.append(text)
+            if main:
+                hashed.append((hashed[-1] * BASE + xxhash.xxh64_intdigest(text)) % FIELD)
         parts.clear()
 
     def end_beside() -> None:
@@ -133,6 +163,16 @@ def all_lines_of(page: str) -> tuple[list[str], bool, list[str]]:
             shown.append(text)
         beside.clear()
 
+    def end_blocks(tags: int) -> None:
+        """End the blocks that lie in more open tags."""
+        while open_blocks and open_blocks[-1][1] >= tags:
+            of, _, start = open_blocks.pop()
+            end = len(hashed) - 1
+            if end > start:
+                inside = (hashed[end] - hashed[start] * pow(BASE, end - start, FIELD)) % FIELD
+                key = xxhash.xxh64_intdigest(f"{of} {end - start} {inside}")
+                blocks.append(Block(key, start, end))
+
     at = 0
     for match in MARKUP.finditer(page):
         if not hidden and match.start() > at:
@@ -161,12 +201,16 @@ def all_lines_of(page: str) -> tuple[list[str], bool, list[str]]:
                 main -= was_main
                 hidden -= was_hidden
                 ends = last != name
+            end_blocks(len(open_tags))
             if not aside:
                 end_beside()
         if not closing and name not in VOID_SET and not tag.endswith("/>"):
             is_hidden = name in HIDDEN_SET
             is_aside = is_hidden or _is_aside(tag, name, main > 0)
             is_main = name in MAIN_SET
+            if name == BLOCK and main and not aside and not is_aside:
+                above = open_blocks[-1][0] if open_blocks else 0
+                open_blocks.append((_place_of(tag, above), len(open_tags), len(hashed) - 1))
             open_tags.append((name, is_aside, is_main, is_hidden))
             depth[name] += 1
             aside += is_aside
@@ -177,13 +221,18 @@ def all_lines_of(page: str) -> tuple[list[str], bool, list[str]]:
     end_beside()
     if not aside:
         end_line()
-    if any(inside for _, inside in lines):
-        return [text for text, inside in lines if inside], True, shown
-    return [text for text, _ in lines], False, shown
+    end_blocks(0)
+    if len(hashed) > 1:
+        return [text for text, inside in lines if inside], True, shown, blocks
+    return [text for text, _ in lines], False, shown, []
+
+
+def _signed(hashes: list[int]) -> np.ndarray:
+    return np.array(hashes, np.uint64).view(np.int64)
 
 
 def _keys(lines: list[str]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(x) for x in lines], np.uint64).view(np.int64)
+    return _signed([xxhash.xxh64_intdigest(x) for x in lines])
 
 
 def place(url: str | None) -> tuple[str | None, str | None]:
@@ -201,14 +250,14 @@ def place(url: str | None) -> tuple[str | None, str | None]:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """Place of each page, hashes of its lines and of all that it shows, and the lines,
-    compressed."""
+    """Place of each page, hashes of its lines, of all that it shows and of the blocks of
+    its main part, with the ends of these, and the lines, compressed."""
 
     def parse(batch: Batch) -> Batch:
         urls = batch.column("url").to_pylist()
         hosts, paths = zip(*map(place, urls), strict=True)
         found = [all_lines_of(x.decode()) for x in texts(batch, "html")]
-        lines, named, shown = zip(*found, strict=True)
+        lines, named, shown, blocks = zip(*found, strict=True)
         hashes = pa.list_(pa.int64())
         return pa.record_batch(
             [
@@ -219,16 +268,22 @@ def parsed(pages: DataFrame) -> DataFrame:
                 pa.array(named, pa.bool_()),
                 pa.array(map(_keys, lines), hashes),
                 pa.array(map(_keys, shown), hashes),
+                pa.array([_signed([b.key for b in x]) for x in blocks], hashes),
+                pa.array([[at for b in x for at in (b.start, b.end)] for x in blocks], hashes),
                 compressed(["\n".join(x).encode() for x in lines]),
             ],
-            ["page_id", "url", "host", "path", "named", "keys", "shown", "packed"],
+            [
+                "page_id", "url", "host", "path", "named",
+                "keys", "shown", "blocks", "spans", "packed",
+            ],
         )
 
     return map_batches(pages.select("page_id", "url", "html"), PARSED, parse)
 
 
 def partners(pages: DataFrame) -> DataFrame:
-    """(host, path, partner): the hashed lines of the nearest other path's first page.
+    """(host, path, partner, partner_blocks): the hashed lines and blocks of the nearest
+    other path's first page.
 
     Distinct paths are sorted over the whole cluster and numbered by sorted
     part, so a host with a third of all pages is spread like any other; the
@@ -237,13 +292,14 @@ def partners(pages: DataFrame) -> DataFrame:
     first = (
         pages.filter("host is not null")
         .groupBy("host", "path")
-        .agg(F.min(F.struct("page_id", "keys")).alias("page"))
+        .agg(F.min(F.struct("page_id", "keys", "blocks")).alias("page"))
     )
     ordered = stage(
         first.orderBy("host", "path").select(
             "host",
             "path",
             F.col("page.keys").alias("keys"),
+            F.col("page.blocks").alias("blocks"),
             F.monotonically_increasing_id().alias("at"),
         ),
         "paths",
@@ -255,13 +311,13 @@ def partners(pages: DataFrame) -> DataFrame:
     # A row for each task of the sort.
     numbered = ordered.withColumn("part", part).join(F.broadcast(offsets), "part")
     numbered = numbered.select(
-        "host", "path", "keys", (F.col("offset") + inside).alias("number")
+        "host", "path", "keys", "blocks", (F.col("offset") + inside).alias("number")
     )
 
     def other(step: int, name: str) -> DataFrame:
         return numbered.select(
             (F.col("number") - step).alias("number"),
-            F.struct("host", "path", "keys").alias(name),
+            F.struct("host", "path", "keys", "blocks").alias(name),
         )
 
     near = numbered.join(other(1, "next"), "number", "left").join(
@@ -282,10 +338,12 @@ def partners(pages: DataFrame) -> DataFrame:
 
     use_last = F.coalesce(shared("last"), F.lit(-1)) >= F.coalesce(shared("next"), F.lit(-1))
     same = F.when(use_last, F.col("last")).otherwise(F.col("next"))
+    of_host = F.col("other.host") == F.col("host")
     return near.select("host", "path", same.alias("other")).select(
         "host",
         "path",
-        F.when(F.col("other.host") == F.col("host"), F.col("other.keys")).alias("partner"),
+        F.when(of_host, F.col("other.keys")).alias("partner"),
+        F.when(of_host, F.col("other.blocks")).alias("partner_blocks"),
     )
 
 
@@ -332,7 +390,28 @@ def kept_lines(lines: list[str], keys: list[int], partner: list[int] | None) ->
     """The lines that the partner does not share."""
     if not partner or not lines:
         return lines
-    shared = set(common(keys, partner))
+    return _without(lines, set(common(keys, partner)))
+
+
+def kept_blocks(
+    lines: list[str], blocks: list[int], spans: list[int], partner: list[int] | None
+) -> list[str]:
+    """The lines of a named main part without the blocks that the partner shares.
+
+    ``spans`` has the first line of each block and the one after its last.
+    """
+    if not partner or not blocks:
+        return lines
+    # How many shared blocks begin or end before a line; blocks may lie in others.
+    steps = [0] * (len(lines) + 1)
+    for k in common(blocks, partner):
+        steps[spans[2 * k]] += 1
+        steps[spans[2 * k + 1]] -= 1
+    return _without(lines, {k for k, n in enumerate(accumulate(steps[:-1])) if n})
+
+
+def _without(lines: list[str], shared: set[int]) -> list[str]:
+    """The lines without those at some places, but all of a page that is a copy."""
     size = sum(map(len, lines))
     longest = sorted(range(len(lines)), key=lambda k: -len(lines[k]))[:LONGEST]
     if sum(len(lines[k]) for k in shared) >= COPY * size or shared.issuperset(longest):
@@ -347,23 +426,37 @@ def main_text(pages: DataFrame) -> DataFrame:
     lines, which is cheaper than to store the lines.
     """
     rows = parsed(pages)
-    whole = rows.select("page_id", "host", "path", F.col("shown").alias("keys"))
+    whole = rows.select("page_id", "host", "path", F.col("shown").alias("keys"), "blocks")
     near = partners(stage(whole, "lines"))
-    joined = rows.join(near, ["host", "path"], "left").withColumn(
-        "partner", F.when(~F.col("named"), F.col("partner"))
+    named = F.col("named")
+    # A page is aligned by its lines or by its blocks, and only those meet its partner's.
+    joined = rows.join(near, ["host", "path"], "left").select(
+        "page_id",
+        "url",
+        "named",
+        "packed",
+        "spans",
+        F.when(named, F.col("blocks")).otherwise(F.col("keys")).alias("keys"),
+        F.when(named, F.col("partner_blocks")).otherwise(F.col("partner")).alias("partner"),
     )
 
     def difference(batch: Batch) -> Batch:
         kept = []
         of = zip(
             unpacked(batch),
+            batch.column("named").to_pylist(),
             batch.column("keys").to_pylist(),
+            batch.column("spans").to_pylist(),
             batch.column("partner").to_pylist(),
             strict=True,
         )
-        for text, keys, partner in of:
+        for text, is_named, keys, spans, partner in of:
             lines = text.decode().split("\n") if text else []
-            kept.append("\n".join(kept_lines(lines, keys, partner)))
+            if is_named:
+                lines = kept_blocks(lines, keys, spans, partner)
+            else:
+                lines = kept_lines(lines, keys, partner)
+            kept.append("\n".join(lines))
         return pa.record_batch(
             [
                 batch.column("page_id"),
@@ -374,5 +467,4 @@ def main_text(pages: DataFrame) -> DataFrame:
             ["page_id", "url", "text", "n_chars"],
         )
 
-    wanted = joined.select("page_id", "url", "keys", "packed", "partner")
-    return map_batches(wanted, RESULT, difference)
+    return map_batches(joined, RESULT, difference)
