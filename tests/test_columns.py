@@ -1,3 +1,4 @@
+import random
 from datetime import date
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from voltalake.functions import columns as C
+from voltalake.functions import exact
 from voltalake.functions.exact import exact_avg, exact_sum
 
 
@@ -52,6 +54,44 @@ def test_percentage_over_zero_is_null(spark):
     ]
 
 
+ODD_NUMBERS = [
+    0.0, -0.0, 0.005, -0.005, 0.015, 1.005, 2.675, -2.675, 1e9, 1e9 - 0.01, 999999999.99, -1e9, 0.1 + 0.2,
+    1e10 - 0.005, 1e10 + 0.005, 123456789.125, 1e15 + 0.5, 1e17, -1e21, 1e22, 1e300, 4.35, -0.001, 1e-9,
+    float("nan"), float("inf"), float("-inf"), None,
+]
+
+
+def test_rounded_is_round(spark):
+    rng = random.Random(7)
+    numbers = ODD_NUMBERS + [
+        value * sign
+        for k in range(4000)
+        for value in (rng.random() * 10 ** (k % 16), rng.randint(0, 10 ** (k % 14)) / 1000)
+        for sign in (1, -1)
+    ]
+    df = spark.createDataFrame([(x,) for x in numbers], "v double")
+    found = df.select(C.rounded(F.col("v")), F.round("v", 2), "v").collect()
+    assert [x for x in found if str(x[0]) != str(x[1])] == []  # with the sign of a zero
+
+
+def test_totals_are_those_of_the_parts(spark):
+    rng = random.Random(8)
+    groups = [[x] for x in ODD_NUMBERS] + [[None, None], [0.1, None, 1e9, 0.125]]
+    for k in range(200):
+        kinds = (rng.randint(-10**8, 10**13) / 100, rng.random() * 10**k, float(rng.randint(0, 10**12)))
+        groups.append([rng.choice(kinds[: 1 + k % 3]) * rng.choice((1, -1)) for _ in range(k % 7)])
+    groups.append([999999999.99] * 3000 + [-0.01])
+    rows = [(k, x) for k, group in enumerate(groups) for x in group]
+    df = spark.createDataFrame(rows, "k int, v double").repartition(1, "k")
+    v = F.col("v")
+    found = df.groupBy("k").agg(
+        exact.decimal_total(v), F.sum(exact.decimal_part(v)),
+        exact.double_total(v), F.sum(exact.double_part(v)),
+    )
+    assert found.dtypes[1][1] == found.dtypes[2][1]
+    assert [x for x in found.collect() if str(x[1:4:2]) != str(x[2:5:2])] == []
+
+
 def test_exact_sum_keeps_values_without_a_decimal_form(spark):
     df = spark.createDataFrame([(1e30,), (0.1,), (None,)], "v double")
     assert df.agg(exact_sum(F.col("v"))).first()[0] == pytest.approx(1e30)

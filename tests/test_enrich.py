@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from conftest import DAY, plan_of, values
 from voltalake import schemas as S
 from voltalake.operators import enrich
+from voltalake.plans import star
 
 _STATS = (
     "id_transaccion", "precio_promedio_tipo_energia", "sobre_precio_promedio",
@@ -83,3 +84,32 @@ def test_deduplication_limits_groups_before_the_shuffle(dirty):
 def test_flag_agrees_with_the_sign_of_the_deviation(dirty):
     table = enrich.enrich_transactions(dirty["transacciones"], DAY)
     assert table.where(F.col("sobre_precio_promedio") & (F.col("desviacion_precio_pct") <= 0)).isEmpty()
+
+
+def test_derived_columns_are_not_staged(spark, sample, tmp_path):
+    """The clean rows are written and read for the averages; what follows from a row is not."""
+    enrich.enrich_transactions(sample["transacciones"], DAY, str(tmp_path))
+    staged = spark.read.parquet(f"{tmp_path}/transacciones")
+    assert staged.columns == list(S.RAW_COLUMNS["transacciones"])
+
+
+def test_orders_meet_customers_before_items(spark, tmp_path):
+    """Or all items are shuffled by customer once more."""
+    tables = {
+        "lineitem": "1L l_orderkey, 1 l_linenumber, 2L l_suppkey, 3L l_partkey, 2.0D l_quantity, "
+        "'O' l_linestatus, 'R' l_returnflag, DATE'2024-01-05' l_shipdate",
+        "orders": "1L o_orderkey, 4L o_custkey, 'F' o_orderstatus, '1-URGENT' o_orderpriority",
+        "customer": "4L c_custkey, 'Ana' c_name",
+        "supplier": "2L s_suppkey, 'Sol' s_name",
+        "part": "3L p_partkey, 5 p_size, 300.5D p_retailprice",
+    }
+    for name, columns in tables.items():
+        spark.sql(f"SELECT {columns}").write.parquet(f"{tmp_path}/{name}.parquet")
+    rows = star.raw_transactions(spark, str(tmp_path))
+    assert [x["nombre_cliente_proveedor"] for x in rows.collect()] == ["Sol "]
+    plan = plan_of(rows, "extended")
+    joins = [x for x in plan.split("Optimized Logical Plan")[1].split("\n") if "Join Inner" in x]
+    by_order, by_customer = (
+        next(k for k, x in enumerate(joins) if name in x) for name in ("o_orderkey", "o_custkey")
+    )
+    assert by_order < by_customer

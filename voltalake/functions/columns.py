@@ -67,6 +67,24 @@ def volume_band(kwh: Column) -> Column:
     )
 
 
+def rounded(value: Column) -> Column:
+    """A double to two decimals as ``round`` has it, which asks for a decimal of each value.
+
+    Where hundredths below a million millions are a thousandth or more from a half, no
+    error of the product reaches it, and the nearest whole number is the same.
+    """
+    hundredths = value * 100
+    whole = F.rint(hundredths)
+    clear = (F.abs(hundredths) < 1e12) & (F.abs(hundredths - whole) < 0.499)
+    # No negative zero.
+    return F.when(clear, whole / 100 + 0.0).otherwise(F.round(value, 2))
+
+
+def share_over(value: Column, base: Column) -> Column:
+    """How far ``value`` lies above ``base``, in percent, not rounded."""
+    return F.try_divide(value - base, base) * 100
+
+
 def pct_over(value: Column, base: Column) -> Column:
     """How far ``value`` lies above ``base``, in percent; NULL over a zero base."""
-    return F.round(F.try_divide(value - base, base) * 100, 2)
+    return F.round(share_over(value, base), 2)

@@ -23,7 +23,7 @@ def clean_transactions(raw: DataFrame) -> DataFrame:
 
 
 def with_total_value(df: DataFrame) -> DataFrame:
-    value = F.round(F.col("cantidad_kwh") * F.col("precio_cop_kwh"), 2)
+    value = C.rounded(F.col("cantidad_kwh") * F.col("precio_cop_kwh"))
     return df.withColumn("valor_total_cop", value)
 
 
@@ -56,7 +56,7 @@ def _compared(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "sobre_precio_promedio": price > average,
-            "desviacion_precio_pct": C.pct_over(price, average),
+            "desviacion_precio_pct": C.rounded(C.share_over(price, average)),
         }
     )
 
@@ -93,7 +93,7 @@ def enrich_transactions(
 ) -> DataFrame:
     """Clean, derive, and compare prices.
 
-    The clean rows are staged once (in ``folder``, if given): the averages
+    The clean rows, without what is derived from them, are staged once (in ``folder``, if given): the averages
     then read two columns of the files, and the deduplication does not run
     again for the join.
     """
@@ -102,8 +102,8 @@ def enrich_transactions(
 
 def enriched(rows: DataFrame, load_date: str | date, folder: str | None = None) -> DataFrame:
     """The same from typed rows."""
-    rows = stage(derived(unique(rows, "transacciones")), "transacciones", folder)
+    rows = stage(unique(rows, "transacciones"), "transacciones", folder)
     averages = stage(price_averages(rows), "precios", folder)
-    return with_price_stats(rows, averages).withColumn(
+    return with_price_stats(derived(rows), averages).withColumn(
         "_fecha_ingesta", C.day_literal(load_date)
     )

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from voltalake import schemas as S
 from voltalake.functions import columns as C
 from voltalake.functions.exact import (
-    decimal_part,
-    double_part,
+    decimal_total,
+    double_total,
     exact_avg,
     exact_sum,
     joined_total,
@@ -84,10 +84,10 @@ def segment_metrics(
         .groupBy(F.col(_PARTY).alias("nombre"), "tipo_energia")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(decimal_part(kwh)).alias("kwh"),
-            F.sum(double_part(kwh)).alias("kwh_rest"),
-            F.sum(decimal_part(cop)).alias("cop"),
-            F.sum(double_part(cop)).alias("cop_rest"),
+            decimal_total(kwh).alias("kwh"),
+            double_total(kwh).alias("kwh_rest"),
+            decimal_total(cop).alias("cop"),
+            double_total(cop).alias("cop_rest"),
             F.count(cop).alias("cop_n"),
         )
     )

@@ -77,9 +77,12 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
 def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """One row per line item; order and line number repeat, so identifiers do."""
     items = spread(_table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
+    # Orders meet their customers first, or all items would travel by customer too.
+    orders = _table(spark, folder, "orders").join(
+        _table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
+    )
     rows = (
-        items.join(_table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(_table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
