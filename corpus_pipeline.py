@@ -16,13 +16,14 @@ from voltalake.llm import decontamination, near_duplicates, packing, resampling,
 from voltalake.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-# Rows of an Arrow batch. Texts are long, and a batch is held several times over,
-# by the executor's process and by its Python worker.
+# Rows of an Arrow batch, and of a batch that a scan reads. Texts are long, and a batch
+# is held several times over, by the executor's process and by its Python worker.
 BATCH_ROWS = "1000"
 
 
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", BATCH_ROWS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

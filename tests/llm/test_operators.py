@@ -3,11 +3,13 @@
 import hashlib
 import random
 import time
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
@@ -25,7 +27,7 @@ from voltalake.llm import (
     toxicity,
 )
 from voltalake.llm.components import components
-from voltalake.llm.text import held_out, read
+from voltalake.llm.text import compressed, held_out, read
 
 BPE = str(public_tokenizers.path("byte_bpe_50k.json"))
 PIECES = str(public_tokenizers.path("piece_bpe_32k.model"))
@@ -291,6 +293,34 @@ def test_rows_of_a_shared_passage_grow_with_its_documents(spark):
     assert many < 6 * few and many < 8 * len(texts)
 
 
+def test_suffix_dedup_holds_little_at_a_time():
+    """A task's arrays stay small, whatever its rows, and so do the batches that it gives."""
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(97, 123, 3_000, np.uint8).tobytes().decode() for _ in range(6_000)]
+    rows = [
+        pa.record_batch({"doc_id": range(k, k + 500), "text": texts[k : k + 500]})
+        for k in range(0, len(texts), 500)
+    ]
+    keys = [
+        pa.array([suffix_dedup._gram_key(suffix_dedup.parse([x.encode()]).gram) for x in of])
+        for of in (texts[k : k + 500] for k in range(0, 1_500, 500))
+    ]
+    carried = [
+        pa.record_batch(
+            [x.column("doc_id"), compressed([y.encode() for y in x.column("text").to_pylist()]), y],
+            ["doc_id", "packed", "keys"],
+        )
+        for x, y in zip(rows, keys, strict=False)
+    ]
+    for function, given in ((suffix_dedup._keys, rows), (suffix_dedup._candidates, carried)):
+        tracemalloc.start()
+        sizes = [x.num_rows for x in function(iter(given))]
+        _, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert sum(sizes) > 1_000_000
+        assert peak < 60e6 and max(sizes) <= 100_000, (function, peak, max(sizes))
+
+
 # --- near duplicates -----------------------------------------------------------------
 def brute_components(texts, size):
     sets = [

@@ -24,7 +24,7 @@ whether two suffixes agree in ``MATCH`` bytes is asked, never which is smaller,
 their bytes would be six times as much to shuffle. So the suffix array of dictionary
 and parse is there as an order of those suffixes that matter; it is not stored.
 A phrase, gram or string that very many documents share reaches its key's task once
-for each million strings of a task.
+for each ``CHUNK`` strings of a task.
 
 Null and empty texts have nothing to remove. Rows with a null id are never
 matched and stay whole. Rows that repeat an id must repeat the text too; they
@@ -64,7 +64,9 @@ from voltalake.session import stage
 MATCH = 50
 GRAM = 24  # a multiple of 8
 PHRASE = 128  # mean length
-CHUNK = 1_000_000  # keys or strings a task puts in order at a time
+CHUNK = 250_000  # keys or strings a task puts in order at a time
+PORTION = 1 << 17  # bytes of texts that are parsed at a time; a long text stays whole
+OUTPUT = 1 << 16  # rows of a batch that goes back to Spark
 SLICE = 500  # documents cut at a time
 KEYS = "key long, content long, doc_id long, state byte"
 STRINGS = "key long, doc_id long, first int, last int"
@@ -202,7 +204,7 @@ def _keys(batches: Iterator[Batch]) -> Iterator[Batch]:
     for batch in batches:
         ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
         at = 0
-        for of in portions(_each(batch.column("text"))):
+        for of in portions(_each(batch.column("text")), PORTION):
             found = parse(of)
             own = ids[at : at + len(of)]
             at += len(of)
@@ -214,10 +216,28 @@ def _keys(batches: Iterator[Batch]) -> Iterator[Batch]:
             rows.append((cut.gram, cut.content, own[found.text[cut.first]]))
             size += len(phrase) + len(cut.gram)
             if size >= CHUNK:
-                yield _asked(rows)
-                rows, size = [], 0
+                yield from _sliced(_asked(rows))
+                size = 0
     if rows:
-        yield _asked(rows)
+        yield from _sliced(_asked(rows))
+
+
+def _sliced(batch: Batch) -> Iterator[Batch]:
+    """The batch in parts, as each is held once more on its way to Spark."""
+    for k in range(0, batch.num_rows, OUTPUT):
+        yield batch.slice(k, OUTPUT)
+
+
+def _joined(parts: list[tuple[np.ndarray, ...]], width: int) -> list[np.ndarray]:
+    """Each column of the parts in one array. The list is emptied, so that no column is
+    held twice."""
+    columns = [[x[k] for x in parts] for k in range(width)]
+    parts.clear()
+    out = []
+    for k in range(width):
+        out.append(np.concatenate(columns[k] or [np.zeros(0, np.int64)]))
+        columns[k] = []
+    return out
 
 
 def _each(column: pa.Array) -> Iterator[bytes]:
@@ -227,12 +247,18 @@ def _each(column: pa.Array) -> Iterator[bytes]:
 
 
 def _asked(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Batch:
-    """Keys of some documents by ``KEYS``."""
-    key, content, doc = map(np.concatenate, zip(*rows, strict=True))
+    """Keys of some documents by ``KEYS``; the list is emptied."""
+    key, content, doc = _joined(rows, 3)
     order = np.lexsort((doc, content, key))
-    key, content, doc = key[order], content[order], doc[order]
-    rows = _heads(key, content, doc)
-    key, content, doc = key[rows], content[rows], doc[rows]
+    # One at a time, so that no two columns are held twice.
+    key = key[order]
+    content = content[order]
+    doc = doc[order]
+    del order
+    distinct = _heads(key, content, doc)
+    key = key[distinct]
+    content = content[distinct]
+    doc = doc[distinct]
     first = _heads(key, content)
     heads = _begin(key)
     sizes = np.diff(np.append(heads, len(key)))
@@ -323,26 +349,29 @@ class _Suffixes:
         shared = ~repeats & np.isin(_own(text, cut.gram), allowed)
         whole = np.repeat(repeats, cut.sizes)
         doc, place = ids[found.text], found.starts - found.first[found.text]
-        self.whole.append(_runs(doc[whole], place[whole]))
+        runs = _runs(doc[whole], place[whole])
+        self.whole.append(runs)
         shared = np.repeat(shared, cut.sizes)
         starts = found.starts[shared]
         key = _hashed(sums, starts, starts + MATCH)
         self.open.append((key.view(np.int64), doc[shared], place[shared]))
-        self.size += len(starts)
+        self.size += len(starts) + len(runs[0])
 
     def take(self) -> Batch:
         """All of them by ``STRINGS``: of equal strings those that are not in the smallest
         document here are sure repeats, and only the others ask elsewhere."""
-        none = np.zeros(0, np.int64)
-        key, doc, place = map(np.concatenate, zip((none,) * 3, *self.open, strict=True))
+        key, doc, place = _joined(self.open, 3)
         order = np.lexsort((doc, key))
         heads = _begin(key[order])
         least = np.repeat(doc[order][heads], np.diff(np.append(heads, len(order))))
         sure = np.zeros(len(order), bool)
         sure[order] = doc[order] > least
-        runs = [*self.whole, _runs(doc[sure], place[sure])]
-        done, first, last = map(np.concatenate, zip((none,) * 3, *runs, strict=True))
-        key, doc, place = key[~sure], doc[~sure], place[~sure]
+        del order, heads, least
+        self.whole.append(_runs(doc[sure], place[sure]))
+        done, first, last = _joined(self.whole, 3)
+        key = key[~sure]
+        doc = doc[~sure]
+        place = place[~sure]
         self.clear()
         # Sure ones are dealt out too, by a number of their own, and have an end.
         mark = _own(first, done).view(np.int64)
@@ -367,7 +396,7 @@ def _candidates(batches: Iterator[Batch]) -> Iterator[Batch]:
         lists = batch.column("keys")
         at = 0
         coder = zstandard.ZstdDecompressor()
-        for of in portions(coder.decompress(x.as_py()) for x in batch.column("packed")):
+        for of in portions((coder.decompress(x.as_py()) for x in batch.column("packed")), PORTION):
             found = parse(of)
             listed = lists.slice(at, len(of))
             owner = np.repeat(np.arange(len(of)), listed.value_lengths().to_numpy(False))
@@ -377,8 +406,8 @@ def _candidates(batches: Iterator[Batch]) -> Iterator[Batch]:
             if len(found.starts):
                 held.add(own, found, allowed)
             if held.size >= CHUNK:
-                yield held.take()
-    yield held.take()
+                yield from _sliced(held.take())
+    yield from _sliced(held.take())
 
 
 def repeats(docs: DataFrame, carried: DataFrame | None = None) -> DataFrame:
