@@ -1,3 +1,4 @@
+import gzip
 import json
 from pathlib import Path
 
@@ -238,3 +239,16 @@ def test_a_load_without_rows_replaces_the_last(spark, tmp_path):
     assert files.write_processed(rows.where("false"), root, "metricas_energia", DAY) == 0
     assert files.read_processed(spark, root, "metricas_energia", DAY).isEmpty()
     assert files.read_processed(spark, root, "metricas_energia").count() == 1
+
+
+def test_landed_files_are_compressed(spark, tmp_path):
+    """Their text is several times as large, and lies beside all that comes after it."""
+    rows = spark.range(20_000).select(
+        *[F.concat(F.lit(f"{x} "), F.col("id") % 50).alias(x) for x in S.RAW_COLUMNS["proveedores"]]
+    )
+    files.land({"proveedores": rows.repartition(2)}, spark, str(tmp_path), DAY)
+    landed = list((tmp_path / "raw").rglob("carga-*.csv.gz"))
+    assert len(landed) == 2
+    packed = sum(x.stat().st_size for x in landed)
+    assert packed * 4 < sum(len(gzip.decompress(x.read_bytes())) for x in landed)
+    assert files.scan_csv(spark, str(tmp_path), "proveedores", DAY).count() == 20_000

@@ -1,7 +1,12 @@
 import shutil
+from datetime import datetime
 
+import __spark_entry__ as entry
 from conftest import DATA, DAY, values
-from voltalake.sources import files
+from voltalake import schemas as S
+from voltalake.plans import star
+from voltalake.session import settings, stage
+from voltalake.sources import files, storage
 from voltalake.streaming import ingest, unique
 
 
@@ -49,3 +54,100 @@ def test_keys_lie_on_disk(spark, sample, tmp_path):
     assert {x.suffix for x in state.rglob("*.*")} & {".changelog", ".zip"}
     assert not list(state.rglob("*.delta"))
     assert {key: spark.conf.get(key, None) for key in unique.STATE} == before
+
+
+def shuffle_files(spark):
+    """Names of the shuffle files on this process's disk; what has ended is gone by then."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    found = blocks.diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while found.hasNext():
+        names.add(found.next().getName())
+    return {x for x in names if x.startswith("shuffle_")}
+
+
+def test_what_waits_is_shuffled_in_parts_that_go(spark, raw, tmp_path):
+    """Counts and rows are those of one batch, and no batch leaves its shuffle behind."""
+    landing, root, marks = (str(tmp_path / n) for n in ("in", "lake", "marks"))
+    columns = S.RAW_COLUMNS["proveedores"]
+    for hour, names in enumerate(("abc", "bcd", "cde")):
+        rows = raw("proveedores", [(x, *[None] * (len(columns) - 1)) for x in names])
+        before = shuffle_files(spark)
+        files.land({"proveedores": rows.repartition(1)}, spark, landing, DAY, hour)
+        assert not shuffle_files(spark) - before
+        ingest.ingest(spark, "proveedores", landing, root, marks, DAY)
+    before = shuffle_files(spark)
+    with settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "1"}):
+        counts = unique.unique_rows(
+            spark, root, "proveedores", f"{marks}/unique", bytes_per_core=1
+        ).first()
+    assert tuple(counts) == (9, 4, 0)
+    assert not shuffle_files(spark) - before
+    assert len(list((tmp_path / "lake" / "unique" / "proveedores").iterdir())) >= 3
+    kept = unique.read_unique(spark, root, "proveedores")
+    assert sorted(values(kept, "nombre_proveedor")) == [(x,) for x in "abcde"]
+
+
+def test_the_query_drops_what_it_staged(spark, monkeypatch, tmp_path):
+    """Items are joined once for both landings, in folders that are gone before the end."""
+    joined, staged = [], []
+    raw_transactions = star.raw_transactions
+
+    def counted(*arguments):
+        joined.append(arguments)
+        return raw_transactions(*arguments)
+
+    def kept(df, name, folder=None):
+        staged.append(folder)
+        return stage(df, name, folder)
+
+    monkeypatch.setattr(star, "raw_transactions", counted)
+    for module in (star, entry):
+        monkeypatch.setattr(module, "stage", kept)
+    source = star_tables(spark, tmp_path)
+    found = values(entry.stream_unique(spark, source), "id_transaccion", "filas")
+    assert sorted(found) == [("TRX-1-1", 1), ("TRX-2-1", 1), ("TRX-2-2", 1)]
+    assert len(joined) == 1 and len(set(staged)) == 2
+    assert not any(storage.exists(spark, x) for x in staged)
+
+
+def star_tables(spark, place):
+    """Three items of two orders, one of them twice."""
+    folder = str(place / "star")
+    tables = {
+        "customer": ("c_custkey long, c_name string, c_nationkey int", [(1, "c", 0)]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int", [(1, "s", 0)]),
+        "part": ("p_partkey long, p_size int, p_retailprice double", [(1, 2, 3.5)]),
+        "orders": (
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string",
+            [(1, 1, "O", "1-URGENT"), (2, 1, None, "5-LOW")],
+        ),
+        "lineitem": (
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int,"
+            " l_quantity double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+            [
+                (1, 1, 1, 1, 4.0, "R", "O", datetime(1998, 5, 27)),
+                (2, 1, 1, 1, None, None, None, None),
+                (2, 1, 1, 2, 1.0, "A", "F", datetime(1998, 5, 28)),
+                (2, 1, 1, 2, 1.0, "A", "F", datetime(1998, 5, 28)),
+            ],
+        ),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_joined_items_may_be_staged(spark, tmp_path):
+    """The same rows with and without the stage, nulls among them."""
+    source = star_tables(spark, tmp_path)
+    plain = values(star.raw_transactions(spark, source))
+    work = str(tmp_path / "work")
+    staged = star.raw_transactions(spark, source, work)
+    assert any("/work/ordenes/" in x for x in staged.inputFiles())
+    assert sorted(map(str, values(staged))) == sorted(map(str, plain))
+    assert sorted(map(str, plain))[:2] == [
+        "('TRX-1-1', ' COMPRA', 's ', '800', '3.50', 'EOLICA ', '1998-05-27', 'PENDIENTE',"
+        " 'Mayorista ')",
+        "('TRX-2-1', 'venta ', 'c', None, '3.50', 'Nuclear', None, 'completada', 'minorista')",
+    ]

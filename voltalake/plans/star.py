@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltalake.session import stage
 from voltalake.sources.files import spread
 
 
@@ -74,33 +75,47 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per line item; order and line number repeat, so identifiers do."""
-    items = spread(_table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
+def raw_transactions(spark: SparkSession, folder: str, work: str | None = None) -> DataFrame:
+    """One row per line item; order and line number repeat, so identifiers do.
+
+    With a ``work`` folder the items that met their orders are staged there, so that
+    what they shuffled is gone from the disks when they are shuffled to their parts.
+    """
+    items = spread(_table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber").withColumns({
+        "bought": F.col("l_linestatus") == "O",
+        "shipped": F.col("l_shipdate").cast("date"),
+    })
     # Orders meet their customers first, or all items would travel by customer too.
     orders = _table(spark, folder, "orders").join(
         _table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
-    rows = (
+    # Items travel with one name and with flags to the parts, and not with all texts.
+    met = (
         items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(_table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    )
-    bought = F.col("l_linestatus") == "O"
-    party = F.when(bought, F.concat("s_name", F.lit(" "))).otherwise(F.col("c_name"))
+        .select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag",
+            "shipped", "bought",
+            F.when(F.col("bought"), F.concat("s_name", F.lit(" ")))
+            .otherwise(F.col("c_name"))
+            .alias("party"),
+            (F.col("o_orderstatus") == "O").alias("pending"),
+            (F.col("o_orderpriority") < "3").alias("wholesale"),
+        )
+    )
+    met = met if work is None else stage(met, "ordenes", work)
+    rows = met.join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     energy = {"R": "EOLICA ", "A": "hidroelectrica"}
     return rows.select(
         F.concat_ws("-", F.lit("TRX"), "l_orderkey", "l_linenumber").alias("id_transaccion"),
-        F.when(bought, " COMPRA").otherwise("venta ").alias("tipo_transaccion"),
-        party.alias("nombre_cliente_proveedor"),
+        F.when(F.col("bought"), " COMPRA").otherwise("venta ").alias("tipo_transaccion"),
+        F.col("party").alias("nombre_cliente_proveedor"),
         _text(F.col("l_quantity") * F.col("p_size") * 100, "bigint").alias("cantidad_kwh"),
         _text(F.col("p_retailprice"), "decimal(12,2)").alias("precio_cop_kwh"),
         _pick(F.col("l_returnflag"), energy, "Nuclear").alias("tipo_energia"),
-        _text(F.col("l_shipdate"), "date").alias("fecha_transaccion"),
-        F.when(F.col("o_orderstatus") == "O", "PENDIENTE").otherwise("completada").alias("estado"),
-        F.when(F.col("o_orderpriority") < "3", "Mayorista ")
-        .otherwise("minorista")
-        .alias("mercado"),
+        F.col("shipped").cast("string").alias("fecha_transaccion"),
+        F.when(F.col("pending"), "PENDIENTE").otherwise("completada").alias("estado"),
+        F.when(F.col("wholesale"), "Mayorista ").otherwise("minorista").alias("mercado"),
     )
 
 
